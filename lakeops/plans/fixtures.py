@@ -111,3 +111,41 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 def duckdb_sql(template: str) -> str:
     """The DuckDB text of a view: table names in place of the placeholders."""
     return template.format(**{n: n for n in TABLES})
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """Write rows as the delimited source has them: header, doubled quotes, spaces kept."""
+    (
+        df.write.options(header="true", quote='"', escape='"', encoding="UTF-8")
+        .options(ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
+        .csv(path)
+    )
+
+
+def pack_archives(spark: SparkSession, csv_path: str, target: str) -> DataFrame:
+    """One ZIP per delimited file under ``csv_path``, streamed file by file; ``(archive)`` rows."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(csv_path).select("path")
+
+    def pack(batches):
+        import posixpath
+        import shutil
+        import zipfile
+
+        import pandas as pd
+
+        from lakeops.sources.archives import CHUNK_BYTES, _open
+
+        for batch in batches:
+            out = []
+            for path in batch["path"]:
+                name = posixpath.basename(path)
+                archive = f"{target}/{name}.zip"
+                with _open(path, "r") as data, _open(archive, "w") as sink:
+                    with zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as packed:
+                        packed.writestr("readme.txt", "no data")
+                        with packed.open(name, "w") as member:
+                            shutil.copyfileobj(data, member, length=CHUNK_BYTES)
+                out.append(archive)
+            yield pd.DataFrame({"archive": out})
+
+    return files.mapInPandas(pack, "archive string")

@@ -39,6 +39,13 @@ class Layers:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
         self._written: dict[str, DataFrame] = {}
+        self._kept: dict[str, object] = {}
+
+    def keep(self, name: str, build: Callable[[], object]) -> object:
+        """A result that several plans share, such as fitted models."""
+        if name not in self._kept:
+            self._kept[name] = build()
+        return self._kept[name]
 
     def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._written:

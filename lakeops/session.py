@@ -16,6 +16,7 @@ def get_spark(app_name: str = "lakeops", master: str | None = None, **conf: str)
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     settings.update(conf)
     builder = SparkSession.builder.appName(app_name)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import posixpath
+import re
 from collections.abc import Iterable, Iterator
-from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -19,16 +20,25 @@ def _open(path: str, mode: str):
     """Open a path of any file system pyarrow knows (local, hdfs, s3, ...)."""
     from pyarrow import fs
 
-    filesystem, inner = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (
-        fs.LocalFileSystem(),
-        path,
-    )
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    if "://" in path:
+        filesystem, inner = fs.FileSystem.from_uri(path)
+    else:
+        filesystem, inner = fs.LocalFileSystem(), path
     if mode == "r":
         return filesystem.open_input_file(inner)
     filesystem.create_dir(posixpath.dirname(inner), recursive=True)
     return filesystem.open_output_stream(inner)
 
 
+def _copy_path(target: str, archive: str, member: str) -> str:
+    """Where a member goes: a readable name, kept apart from others by a digest of its origin."""
+    digest = hashlib.sha256(f"{archive}\n{member}".encode()).hexdigest()[:16]
+    name = re.sub(r"[^A-Za-z0-9.-]+", "-", posixpath.basename(member))
+    return f"{target.rstrip('/')}/{digest}/m-{name}"
+
+
 def list_members(archives: DataFrame, members: str = "first") -> DataFrame:
     """``(archive, member, status)`` of the delimited members of every archive path.
 
@@ -91,8 +101,7 @@ def unpack_archives(
                 if status != "ok":
                     out.append((archive, None, None, None, status))
                     continue
-                folder = quote(archive.strip("/").replace("/", "__").replace(":", "_"))
-                path = f"{target.rstrip('/')}/{folder}/{quote(member.replace('/', '__'))}"
+                path = _copy_path(target, archive, member)
                 with _open(archive, "r") as source, zipfile.ZipFile(source) as packed:
                     with packed.open(member) as data, _open(path, "w") as sink:
                         shutil.copyfileobj(data, sink, length=CHUNK_BYTES)
