@@ -37,20 +37,20 @@ def column_values(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 def table_footprint(df: DataFrame, id_column: str = ID, date_column: str = "_ingestion_date") -> DataFrame:
     """Rows, distinct ids, distinct dates and the date range.
 
-    Grouped by (id, date) first: plain partial aggregates, no distinct-aggregate expansion.
+    Dates and ids are each grouped on their own, one narrow column at a time: two distinct
+    aggregates side by side would expand every row and shuffle both columns together.
     """
-    pairs = df.groupBy(id_column, date_column).agg(F.count("*").alias("n"))
     dates = (
-        pairs.groupBy(date_column)
-        .agg(F.sum("n").alias("n"))
+        df.groupBy(date_column)
+        .agg(F.count("*").alias("n"))
         .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("row_count"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
             F.count(date_column).alias("ingestion_date_count"),
             F.min(date_column).alias("min_ingestion_date"),
             F.max(date_column).alias("max_ingestion_date"),
         )
     )
-    ids = pairs.groupBy(id_column).agg(F.count("*").alias("n")).agg(F.count(id_column).alias("n"))
+    ids = df.select(id_column).distinct().agg(F.count(id_column).alias("n"))
     return dates.select(
         "row_count",
         ids.scalar().alias("distinct_complaint_id_count"),
@@ -468,26 +468,38 @@ def group_counts(df: DataFrame, *groups: str) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Pearson matrix as rows; one aggregate over the upper triangle, mirrored.
+    """Pearson matrix as rows, from one pass over the upper triangle, mirrored.
 
-    A constant column has no correlation and gives null.
+    Each row is unfolded to its column pairs, and the moments are taken per pair, combined before
+    the shuffle. One aggregate with the moments of all pairs would be too wide for code generation.
+    A constant column has no correlation and gives null (``corr`` itself raises a division by zero
+    for it in ANSI mode).
     """
     columns = list(columns)
-    pairs = {
-        (i, j): f"r_{i}_{j}" for i in range(len(columns)) for j in range(i, len(columns))
-    }
-    wide = df.agg(
+    indexed = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    pairs = F.array(
         *[
-            F.corr(F.col(columns[i]).cast("double"), F.col(columns[j]).cast("double")).alias(name)
-            for (i, j), name in pairs.items()
+            F.struct(
+                F.lit(i).alias("i"),
+                F.lit(j).alias("j"),
+                F.col(columns[i]).cast("double").alias("x"),
+                F.col(columns[j]).cast("double").alias("y"),
+            )
+            for i, j in indexed
         ]
     )
+    spread = F.stddev_pop("x") * F.stddev_pop("y")
+    halves = (
+        df.select(F.inline(pairs))
+        .filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+        .groupBy("i", "j")
+        .agg((F.covar_pop("x", "y") / F.nullif(spread, F.lit(0.0))).alias("r"))
+    )
+    mirrored = F.array(F.struct("i", "j", "r"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"), "r"))
+    cells = halves.select(F.inline(mirrored))
 
-    def cell(i: int, j: int) -> Column:
-        value = F.col(pairs[min(i, j), max(i, j)])
-        return F.when(~F.isnan(value), value)
+    def cell(j: int) -> Column:
+        return F.max(F.when(F.col("j") == j, F.col("r"))).alias(columns[j])
 
-    rows = {
-        columns[i]: {columns[j]: cell(i, j) for j in range(len(columns))} for i in range(len(columns))
-    }
-    return stack_measures(wide, rows, name="feature_name")
+    names = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("i") + 1)
+    return cells.groupBy(names.alias("feature_name")).agg(*[cell(j) for j in range(len(columns))])

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from lakeops import constants as K
 from lakeops.operators import profile, quality, star
-from lakeops.plans.fixtures import RAW_COLUMNS
+from lakeops.plans.fixtures import RAW_COLUMNS, TIE_BREAKS
+from lakeops.plans.layers import silver_layer
 from lakeops.queries.bronze import blanks_sql
 from lakeops.queries.oracle import SILVER, count_if, parse
 from lakeops.queries.registry import add
@@ -15,7 +16,7 @@ _LINEAGE = ("_ingestion_date", "_ingested_at", "_source_zip_path", "_source_csv_
 
 add(
     "dedupe_latest",
-    lambda L: L.silver.select(*RAW_COLUMNS, *_LINEAGE),
+    lambda L: silver_layer(L.bronze, TIE_BREAKS).select(*RAW_COLUMNS, *_LINEAGE),
     SILVER + f" SELECT {', '.join(RAW_COLUMNS + _LINEAGE)} FROM silver",
 )
 add(

@@ -58,15 +58,17 @@ def list_members(archives: DataFrame, members: str = "first") -> DataFrame:
                     with _open(path, "r") as source:
                         if source.size() == 0:
                             out.append((path, None, "empty"))
-                        elif not zipfile.is_zipfile(source):
-                            out.append((path, None, "not a zip"))
-                        else:
-                            names = zipfile.ZipFile(source).namelist()
-                            found = [n for n in names if n.lower().endswith(".csv")]
-                            kept = found[:1] if members == "first" else found
-                            out += [(path, n, "ok") for n in kept] or [(path, None, "no csv member")]
+                            continue
+                        names = zipfile.ZipFile(source).namelist()
                 except FileNotFoundError:
                     out.append((path, None, "missing"))
+                    continue
+                except (zipfile.BadZipFile, ValueError):  # ValueError: too short to look for the directory
+                    out.append((path, None, "not a zip"))
+                    continue
+                found = [n for n in names if n.lower().endswith(".csv")]
+                kept = found[:1] if members == "first" else found
+                out += [(path, n, "ok") for n in kept] or [(path, None, "no csv member")]
             yield pd.DataFrame(out, columns=["archive", "member", "status"])
 
     return archives.select("archive").mapInPandas(rows, _LISTED)
