@@ -13,8 +13,9 @@ import os
 import sys
 import time
 
-from lakeops.queries import catalogue
 from lakeops.plans.layers import layers
+from lakeops.queries import catalogue
+from lakeops.queries.modelling import encoded_layer
 from lakeops.session import get_spark, pin_semantics
 
 HEADLINE = (
@@ -35,7 +36,7 @@ HEADLINE = (
     # files
     "read_raw_csv", "write_snapshot", "unpack_archives",
     # models
-    "select_features", "platt_calibrate",
+    "select_features", "fit_tree", "fit_forest", "platt_calibrate", "predictions_table", "score_with_champion",
 )
 
 
@@ -60,6 +61,7 @@ def main() -> None:
         "layer_dimensions": timed(lambda: built.dims),
         "layer_fact": timed(lambda: built.fact),
         "layer_features": timed(lambda: built.features("md5")),
+        "layer_encoded": timed(lambda: encoded_layer(built)),
     }
     queries = catalogue.queries()
     for name in names:

@@ -11,11 +11,26 @@ from pyspark.sql import functions as F
 from lakeops.constants import SILVER_DATE_PATTERNS
 
 
-def _like_literals(pattern: str) -> str:
-    """``LIKE`` pattern of the literal characters a value must hold to match ``pattern``."""
-    literals = re.sub(r"'([^']*)'|[A-Za-z]+", lambda m: f"%{m.group(1) or ''}%", pattern)
-    literals = literals.replace(" ", "% %")
-    return re.sub("%+", "%", f"%{literals}%")
+_FIELD_SHAPES = {"yyyy": r"(?:[0-9]{4}|\+[0-9]{5,})", "X": r"(?:Z|z|[+-].+)"}
+
+
+def _shape(pattern: str) -> str:
+    """Regular expression every value that parses under ``pattern`` matches.
+
+    A repeated letter is a field of exactly that many digits, a single one has at least one digit;
+    a year of more than four digits needs a plus sign.
+    """
+
+    def field(m: re.Match) -> str:
+        literal, letters = m.group(1), m.group(2)
+        if literal is not None:
+            return re.escape(literal)
+        if letters is None:
+            return re.escape(m.group(0))
+        return _FIELD_SHAPES.get(letters, "[0-9]+" if len(letters) == 1 else f"[0-9]{{{len(letters)}}}")
+
+    body = re.sub(r"'([^']*)'|(([A-Za-z])\3*)|.", field, pattern)
+    return rf"(?i)\A{body}\z"
 
 
 def parse_timestamp(
@@ -26,9 +41,9 @@ def parse_timestamp(
 ) -> Column:
     """First successful parse of ``c``, or null.
 
-    A failed parse with an explicit pattern raises and catches an exception inside Spark, so a
-    pattern is tried only on values that hold all its separators; that condition is necessary
-    for a match and changes no result. The default parse runs only on values that start with a
+    A failed parse with an explicit pattern raises and catches an exception inside Spark, which
+    costs far more than a parse, so a pattern is tried only on values of its shape; that
+    condition is necessary for a match and changes no result. The default parse runs only on values that start with a
     full ISO date, because it also takes partial and clock-dependent values (``today``,
     ``12:30``, ``2026``); ``lenient=True`` lets it see everything.
     """
@@ -37,8 +52,7 @@ def parse_timestamp(
         parsed = F.try_to_timestamp(c)
         attempts.append(parsed if lenient else F.when(c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"), parsed))
     for pattern in patterns:
-        guarded = F.when(c.like(_like_literals(pattern)), F.try_to_timestamp(c, F.lit(pattern)))
-        attempts.append(guarded)
+        attempts.append(F.when(c.rlike(_shape(pattern)), F.try_to_timestamp(c, F.lit(pattern))))
     return F.coalesce(*attempts)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,27 +17,23 @@ def _orderable(dtype: T.DataType) -> bool:
     return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
-def dedupe_latest(
-    df: DataFrame,
-    keys: Iterable[str],
-    order: Iterable[Column],
-) -> DataFrame:
-    """The first row of every key under ``order``.
+def dedupe_latest(df: DataFrame, keys: Iterable[str], latest: Iterable[str]) -> DataFrame:
+    """The row of every key that is largest by the columns ``latest``, nulls smallest.
 
-    All other columns follow as the last part of the order, so ties have one winner whatever the
-    row order or partitioning. The row-number filter is turned by the optimizer into a group
-    limit that keeps one row per key in every map task, before the shuffle: a key with any
-    number of copies sends at most one row per task.
+    All other comparable columns follow as the last part of the comparison, so ties have one
+    winner whatever the row order or partitioning. The row is the maximum of a struct: a map task keeps
+    one row per key before the shuffle, so a key with any number of copies sends at most one row
+    per task, and rows are sorted by the key alone, not by the whole order as a window would.
     """
-    keys = list(keys)
-    rest = [
-        F.col(f"`{f.name}`").desc_nulls_last()
-        for f in df.schema.fields
-        if f.name not in keys and _orderable(f.dataType)
-    ]
-    w = Window.partitionBy(*keys).orderBy(*order, *rest)
-    return df.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
-
-
-def latest_first(*columns: str) -> list[Column]:
-    return [F.col(c).desc_nulls_last() for c in columns]
+    keys, latest = list(keys), list(latest)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    rest = [c for c in df.columns if c not in keys and c not in latest]
+    compared = latest + [c for c in rest if _orderable(types[c])]
+    carried = [c for c in rest if not _orderable(types[c])]
+    order = F.struct(*[F.col(f"`{c}`") for c in compared])
+    if carried:
+        winner = F.max_by(F.struct(*[F.col(f"`{c}`") for c in compared + carried]), order)
+    else:
+        winner = F.max(order)
+    kept = df.groupBy(*keys).agg(winner.alias("_row"))
+    return kept.select(*[F.col(f"`{c}`") if c in keys else F.col("_row")[c].alias(c) for c in df.columns])

@@ -123,16 +123,16 @@ def out_of_fold_rates(counts: DataFrame, rate: Column, smoothing: float = SMOOTH
     )
 
 
-def apply_out_of_fold(
-    train: DataFrame,
+def apply_by_fold(
+    df: DataFrame,
     table: DataFrame,
     rate: Column,
     fold: Column,
     columns: Iterable[str] = CATEGORICAL_COLUMNS,
 ) -> DataFrame:
-    """Add ``<column>_indexed`` to training rows from the out-of-fold table."""
-    df = train.withColumn("_fold", fold.cast("int"))
-    added = []
+    """Add ``<column>_indexed`` from a (feature, category, fold) table."""
+    kept, added = df.columns, []
+    df = df.withColumn("_fold", fold.cast("int"))
     for c in columns:
         part = table.filter(F.col("feature") == c).select(
             F.col("category").alias("_category"), F.col("fold").alias("_of"), F.col("rate").alias(f"_rate_{c}")
@@ -140,7 +140,7 @@ def apply_out_of_fold(
         df = df.join(part, (F.col(c) == F.col("_category")) & (F.col("_fold") == F.col("_of")), "left")
         df = df.drop("_category", "_of")
         added.append(F.coalesce(F.col(f"_rate_{c}"), rate).alias(encoded_name(c)))
-    return df.select(*train.columns, *added)
+    return df.select(*kept, *added)
 
 
 def target_encode_oof(
@@ -158,8 +158,11 @@ def target_encode_oof(
     labelled = train.filter(F.col(label).isNotNull())
     counts = stage(encoding_counts(labelled, columns, label, fold), "fold-counts")
     rate = rate_of(counts).scalar()
-    table = stage(out_of_fold_rates(counts, rate, smoothing), "fold-rates")
-    return apply_out_of_fold(train, table, rate, fold, columns)
+    table = stage(out_of_fold_rates(counts, rate, smoothing), "fold-rates", "feature")
+    return apply_by_fold(train, table, rate, fold, columns)
+
+
+HELD_OUT_FOLD = -1
 
 
 def encode_splits(
@@ -169,19 +172,18 @@ def encode_splits(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(encoded rows, encoding table, one-row target rate)`` of a feature table.
 
-    TRAIN is encoded out of fold, the held-out splits with the full TRAIN table. One scan of
-    TRAIN counts everything; the rate and both tables derive from the counts. They are written
-    once: the serving side needs them, and their file size is what decides the joins.
+    TRAIN is encoded out of fold, the held-out splits with the full TRAIN rates, which are kept as
+    one more fold, so that all splits are encoded by the same joins in one scan. Another scan, of
+    TRAIN, counts everything; the rate and both tables derive from the counts. They are written
+    per feature: the file sizes are what decides between a broadcast and a shuffle join.
     """
     columns = list(columns)
-    train = features.filter(F.col(SPLIT) == TRAIN)
-    held_out = features.filter(F.col(SPLIT) != TRAIN)
-    fold = fold_of(method=method)
-    counts = stage(encoding_counts(train, columns, LABEL, fold), "fold-counts")
+    in_train = F.col(SPLIT) == TRAIN
+    fold = fold_of(method=method).cast("int")
+    counts = stage(encoding_counts(features.filter(in_train), columns, LABEL, fold), "fold-counts")
     rate = stage(rate_of(counts), "target-rate")
-    encodings = stage(encoding_table(counts, rate.scalar()), "encodings")
-    fold_rates = stage(out_of_fold_rates(counts, rate.scalar()), "fold-rates")
-    encoded = apply_out_of_fold(train, fold_rates, rate.scalar(), fold, columns).unionByName(
-        target_encode_apply(held_out, encodings, rate.scalar(), columns)
-    )
-    return encoded, encodings, rate
+    encodings = stage(encoding_table(counts, rate.scalar()), "encodings", "feature")
+    whole = encodings.select("feature", "category", F.lit(HELD_OUT_FOLD).alias("fold"), "rate")
+    by_fold = stage(out_of_fold_rates(counts, rate.scalar()).unionByName(whole), "fold-rates", "feature")
+    row_fold = F.when(in_train, fold).otherwise(F.lit(HELD_OUT_FOLD))
+    return apply_by_fold(features, by_fold, rate.scalar(), row_fold, columns), encodings, rate

@@ -47,7 +47,7 @@ from lakeops.constants import (
 )
 from lakeops.operators import curves
 from lakeops.operators.features import stratified_halves
-from lakeops.sources.staging import stage
+from lakeops.sources.staging import spread, stage
 
 _OUTPUTS = {
     "featuresCol": "features",
@@ -100,7 +100,7 @@ def select_features(train: DataFrame, columns: Iterable[str] = MODEL_INPUTS) ->
     """Importance table of a selector forest over all candidate inputs."""
     columns = list(columns)
     selector = RandomForestClassifier(**_OUTPUTS, **SELECTOR_PARAMS)
-    model = selector.fit(assemble(train, columns).select("features", LABEL, WEIGHT))
+    model = selector.fit(assemble(spread(train.select(*columns, LABEL, WEIGHT)), columns))
     return importance_table(train.sparkSession, columns, model.featureImportances.toArray())
 
 
@@ -112,7 +112,8 @@ def top_features(importances: DataFrame, k: int = TOP_FEATURES) -> list[str]:
 def fit(estimator, train: DataFrame, columns: Iterable[str]) -> PipelineModel:
     """Assemble and fit one learner on weighted training rows."""
     columns = list(columns)
-    return Pipeline(stages=[assembler(columns), estimator]).fit(train.select(*columns, LABEL, WEIGHT))
+    rows = spread(train.select(*columns, LABEL, WEIGHT))
+    return Pipeline(stages=[assembler(columns), estimator]).fit(rows)
 
 
 def score_column(probability: str = "tree_probability"):
@@ -212,7 +213,7 @@ def tune(estimator, grid: Mapping[str, list], train: DataFrame, columns: Iterabl
         seed=SEED,
         parallelism=parallelism,
     )
-    rows = assemble(train, columns).select("features", LABEL, WEIGHT)
+    rows = assemble(spread(train.select(*columns, LABEL, WEIGHT)), columns).select("features", LABEL, WEIGHT)
     fitted = search.fit(rows)
     table = train.sparkSession.createDataFrame(
         [

@@ -306,11 +306,13 @@ def suspicious_pattern(df: DataFrame, column: str, pattern: str = ZIP_PATTERN, n
 
 
 def missing_by_group(df: DataFrame, groups: Iterable[str], columns: Iterable[str]) -> DataFrame:
-    """Row and missing counts per group (such as source file and date)."""
-    return df.groupBy(*groups).agg(
+    """Row and missing counts per group, such as (date, source file); later groups first."""
+    groups = list(groups)
+    counts = df.groupBy(*groups).agg(
         F.count("*").alias("row_count"),
         *[F.count_if(is_missing(F.col(c))).alias(f"missing_{c}_count") for c in columns],
     )
+    return counts.orderBy(F.desc(groups[0]), F.desc("row_count"), *[F.asc(g) for g in groups[1:]])
 
 
 def layer_counts(

@@ -71,7 +71,7 @@ def promote_champion(
     run_id = uuid.uuid4().hex
     run = f"{root.rstrip('/')}/run={run_id}"
     model.write().overwrite().save(f"{run}/model")
-    encodings.write.parquet(f"{run}/encodings")
+    encodings.write.partitionBy("feature").parquet(f"{run}/encodings")
     serving_metadata(best, rate, selected).write.parquet(f"{run}/metadata")
     serving_contract_gate(model, spark.read.parquet(f"{run}/metadata"))
     pointer = spark.range(1).select(

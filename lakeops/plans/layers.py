@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.constants import ID
 from lakeops.operators.clean import silver_rows
-from lakeops.operators.dedupe import dedupe_latest, latest_first
+from lakeops.operators.dedupe import dedupe_latest
 from lakeops.operators.dims import build_date_dim, build_dim
 from lakeops.operators.features import feature_table
 from lakeops.operators.star import build_fact, denormalise
@@ -20,8 +20,7 @@ DIM_COLUMNS = {"product": ("product", "sub_product"), "company": ("company",), "
 
 def silver_layer(raw: DataFrame, tie_breaks: tuple[str, ...] = ()) -> DataFrame:
     """Clean, typed rows, the latest one per id."""
-    newest = latest_first("_ingested_at", "_ingestion_date", *tie_breaks)
-    return dedupe_latest(silver_rows(raw), [ID], newest)
+    return dedupe_latest(silver_rows(raw), [ID], ["_ingested_at", "_ingestion_date", *tie_breaks])
 
 
 def dimensions(silver: DataFrame) -> dict[str, DataFrame]:

@@ -43,14 +43,18 @@ def encode(features: DataFrame) -> Encoded:
 
 
 def train(
-    encoded: Encoded, names: Iterable[str] = (M.TREE, M.FOREST, M.BOOSTED), tuned: bool = False
+    encoded: Encoded,
+    names: Iterable[str] = (M.TREE, M.FOREST, M.BOOSTED),
+    tuned: bool = False,
+    importances: DataFrame | None = None,
 ) -> Trained:
-    """Select inputs, fit and calibrate the named learners, choose thresholds and evaluate.
+    """Select inputs (unless their ``importances`` are given), fit and calibrate the named learners, choose thresholds and evaluate.
 
     ``tuned`` searches each learner's grid first (off by default, as it multiplies the fits).
     """
     train_rows = encoded.rows.filter(F.col(SPLIT) == TRAIN)
-    importances = M.select_features(train_rows)
+    if importances is None:
+        importances = M.select_features(train_rows)
     selected = M.top_features(importances)
     learners = M.estimators()
     models = []

@@ -330,7 +330,7 @@ add(
 )
 add(
     "missing_by_group",
-    lambda L: profile.missing_by_group(L.bronze, ["_source_csv_name", "_ingestion_date"], K.GROUP_MISSING_COLUMNS),
+    lambda L: profile.missing_by_group(L.bronze, ["_ingestion_date", "_source_csv_name"], K.GROUP_MISSING_COLUMNS),
     RAW
     + " SELECT _source_csv_name, _ingestion_date, count(*) AS row_count, "
     + ", ".join(f"{count_if(missing(c))} AS missing_{c}_count" for c in K.GROUP_MISSING_COLUMNS)

@@ -281,7 +281,7 @@ _INDEXED = tuple(K.encoded_name(c) for c in K.CATEGORICAL_COLUMNS)
 
 def _apply(L):
     train = _train(L)
-    encodings = stage(encode.target_encode_fit(train), "encodings")
+    encodings = stage(encode.target_encode_fit(train), "encodings", "feature")
     held_out = _feats(L).filter(F.col(K.SPLIT) != K.TRAIN)
     rate = encode.target_rate(train).scalar()
     return rounded(encode.target_encode_apply(held_out, encodings, rate).select("complaint_id", *_INDEXED), *_INDEXED)

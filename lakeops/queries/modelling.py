@@ -19,16 +19,23 @@ from lakeops.queries.registry import add
 from lakeops.sources.staging import fresh_path, stage
 
 
-def _encoded(L) -> training.Encoded:
+def encoded_layer(L) -> training.Encoded:
     return L.keep("encoded", lambda: training.encode(L.features("md5")))
 
 
 def _train_rows(L):
-    return _encoded(L).rows.filter(F.col(K.SPLIT) == K.TRAIN)
+    return encoded_layer(L).rows.filter(F.col(K.SPLIT) == K.TRAIN)
+
+
+def _importances(L):
+    return L.keep("importances", lambda: models.select_features(_train_rows(L)))
 
 
 def _trained(L) -> training.Trained:
-    return L.keep("trained", lambda: training.train(_encoded(L), (models.TREE, models.FOREST)))
+    def train():
+        return training.train(encoded_layer(L), (models.TREE, models.FOREST), importances=_importances(L))
+
+    return L.keep("trained", train)
 
 
 # ---- inputs and fits -----------------------------------------------------------------------------
@@ -51,17 +58,14 @@ add(
     + _joined("oof", True).replace("SELECT complaint_id,", f"SELECT complaint_id, {', '.join(K.NUMERIC_COLUMNS)},").replace(", 9)", ", 15)")
     + f" WHERE f.dataset_split = 'TRAIN') SELECT complaint_id, {len(K.MODEL_INPUTS)} AS inputs, round({_TOTAL}, 9) AS total FROM indexed",
 )
-add("select_features", lambda L: _trained(L).importances)
+add("select_features", _importances)
 
 
 def _fitted(name: str):
     def build(L):
-        trained = _trained(L)
-        model = next((m for m in trained.models if m.name == name), None)
-        if model is None:
-            learner = models.estimators()[name]
-            model = models.fit_and_calibrate(name, learner, _encoded(L).rows, trained.selected)
-        return models.model_importances([model], trained.selected)
+        selected = models.top_features(_importances(L))
+        model = models.fit_and_calibrate(name, models.estimators()[name], encoded_layer(L).rows, selected)
+        return models.model_importances([model], selected)
 
     return build
 
@@ -72,7 +76,7 @@ add("fit_gbt", _fitted(models.BOOSTED))
 add(
     "tune",
     lambda L: models.tune(
-        models.estimators()[models.TREE], models.grids()[models.TREE], _train_rows(L), _trained(L).selected
+        models.estimators()[models.TREE], models.grids()[models.TREE], _train_rows(L), models.top_features(_importances(L))
     )[1].select(
         F.col("params")["maxDepth"].alias("max_depth"),
         F.col("params")["minInstancesPerNode"].alias("min_leaf"),
@@ -267,7 +271,7 @@ def _linear(df):
 
 def _score_requests(L):
     train = L.features("md5").filter(F.col(K.SPLIT) == K.TRAIN)
-    encodings = stage(encode.target_encode_fit(train), "encodings")
+    encodings = stage(encode.target_encode_fit(train), "encodings", "feature")
     rate = encode.target_rate(train).scalar()
     month = F.col("complaint_received_month").cast("string")
     fields = [

@@ -40,9 +40,26 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and return the written table."""
+def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and return the written table.
+
+    ``partition_by`` makes one directory per value of a column with few values; a reader of one
+    value then knows the size of just that part.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give work that is heavy per row at least one partition per core.
+
+    ``df`` should be a projection of a written table: its partitions are counted before anything
+    runs. Only for data of fewer partitions than the cluster has cores; larger data passes unchanged,
+    without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)

@@ -74,15 +74,34 @@ def test_quality_patterns_need_the_zone(spark):
     assert got == [day(2026, 7, 30, 1, 2, 3, 4000), day(2026, 7, 29, 23, 2, 3), None, day(2026, 7, 30), None]
 
 
+def unguarded(patterns):
+    return lambda c: F.coalesce(*[F.try_to_timestamp(c, F.lit(p)) for p in patterns]).cast("string")
+
+
+def guarded(patterns):
+    return lambda c: dates.parse_timestamp(c, patterns, default=False).cast("string")
+
+
+ODD = [
+    "1-2-2026", "1/2", "2026/01/02", "2026-01-02T03:04:05.006Z", "2026-01-02t03:04:05z", "2026-01-02T03:04:05+0230",
+    "2026-01-02T03:04:05.006+02:30", "a/b/c", "07/30/2026 ", " 07/30/2026", "007/030/2026", "7/3/02026", "7/3/+12026",
+    "+12026-01-02", "02026-01-02", "-7/3/2026", "7/-3/2026", "7/3/126", "2/29/2025", "2/29/2024", "00/10/2026",
+    "12/31/9999", "1/1/0000", "0000-01-01", "2026-01-02 24:00:00", "2026-01-02 3:04:05", "２/3/2026", "7/3/2026\n",
+]
+
+
 @pytest.mark.parametrize("patterns", [K.SILVER_DATE_PATTERNS, K.PROFILE_DATE_PATTERNS, K.QUALITY_DATE_PATTERNS])
-def test_separator_guards_change_no_result(spark, patterns):
-    items = [v for v in PARSED if v] + ["1-2-2026", "1/2", "2026/01/02", "2026-01-02T03:04:05.006Z", "a/b/c", "07/30/2026 "]
+def test_shape_guards_change_no_result(spark, patterns):
+    items = [v for v in PARSED if v] + ODD
+    assert values(spark, items, guarded(patterns)) == values(spark, items, unguarded(patterns))
 
-    def unguarded(c):
-        return F.coalesce(*[F.try_to_timestamp(c, F.lit(p)) for p in patterns])
 
-    guarded = values(spark, items, lambda c: dates.parse_timestamp(c, patterns, default=False))
-    assert guarded == values(spark, items, unguarded)
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.from_regex(r"\A[-+]?[0-9]{1,5}[/-][0-9]{1,3}[/-][0-9]{1,5}([ T][0-9]{1,2}:[0-9]{2}:[0-9]{2})?(Z|\.[0-9]{3}Z)?\Z"),
+                min_size=60, max_size=60))
+def test_shape_guards_change_no_result_on_date_like_text(spark, items):
+    for patterns in (K.SILVER_DATE_PATTERNS, K.QUALITY_DATE_PATTERNS):
+        assert values(spark, items, guarded(patterns)) == values(spark, items, unguarded(patterns))
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

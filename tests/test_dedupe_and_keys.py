@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from lakeops.operators.dedupe import dedupe_latest, latest_first
+from lakeops.operators.dedupe import dedupe_latest
 from lakeops.operators.dims import build_date_dim, build_dim
 from lakeops.operators.scan import ordered_key, prefix_scan
 from lakeops.operators.star import lookup_key_nullsafe, orphan_counts
@@ -17,14 +17,23 @@ def test_dedupe_has_one_winner_for_ties(spark, parts):
     for k, t, v in rows:
         best[k] = max(best.get(k, (-1, "")), (t, v))
     df = spark.createDataFrame(rows[::-1], "id int, at int, v string").repartition(parts)
-    got = {r.id: (r.at, r.v) for r in dedupe_latest(df, ["id"], latest_first("at")).collect()}
+    got = {r.id: (r.at, r.v) for r in dedupe_latest(df, ["id"], ["at"]).collect()}
     assert got == best
 
 
-def test_dedupe_limits_a_hot_key_before_the_shuffle(spark):
+def test_dedupe_combines_a_hot_key_before_the_shuffle(spark):
     df = spark.range(3000).select((F.col("id") % 3).alias("id"), F.col("id").alias("at"))
-    plan = plan_of(dedupe_latest(df, ["id"], latest_first("at")))
-    assert plan.index("WindowGroupLimit") < plan.index("Exchange hashpartitioning") < plan.rindex("WindowGroupLimit")
+    plan = plan_of(dedupe_latest(df, ["id"], ["at"]))
+    assert plan.index("max(struct") < plan.index("Exchange hashpartitioning") < plan.index("partial_max")
+
+
+def test_dedupe_orders_nulls_last_and_carries_maps(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (1, null, map('a', 1)), (1, 3, map('b', 2)), (1, 2, map('c', 3)), (2, null, null) AS t(id, at, m)"
+    )
+    assert {(r.id, r.at, str(r.m)) for r in dedupe_latest(df, ["id"], ["at"]).collect()} == {
+        (1, 3, "{'b': 2}"), (2, None, "None"),
+    }
 
 
 @pytest.mark.parametrize("parts", [1, 4, 50])
