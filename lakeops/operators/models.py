@@ -128,19 +128,18 @@ def platt_rows(scored: DataFrame, score: str, label: str = LABEL) -> DataFrame:
     """Weighted rows whose logistic fit is the sigmoid with Platt's softened targets.
 
     A row with target t counts t times as a positive and 1-t times as a negative. Rows are
-    combined per distinct score and label first.
+    combined per distinct score and label, and written, first: the scores come out of a model
+    that must not run again in every pass over them.
     """
-    positives = F.count_if(F.col(label) == 1).cast("double")
-    negatives = F.count_if(F.col(label) == 0).cast("double")
-    totals = scored.agg(
+    grouped = scored.groupBy(F.col(score).alias("score"), F.col(label).alias("y"))
+    counts = stage(grouped.agg(F.count("*").cast("double").alias("n")), "calibration-scores")
+    positives = F.coalesce(F.sum(F.when(F.col("y") == 1, F.col("n"))), F.lit(0.0))
+    negatives = F.coalesce(F.sum(F.when(F.col("y") == 0, F.col("n"))), F.lit(0.0))
+    targets = counts.agg(
         F.struct(
             ((positives + 1) / (positives + 2)).alias("high"), (1 / (negatives + 2)).alias("low")
         ).alias("targets")
-    )
-    counts = scored.groupBy(F.col(score).alias("score"), F.col(label).alias("y")).agg(
-        F.count("*").cast("double").alias("n")
-    )
-    targets = totals.scalar()
+    ).scalar()
     target = F.when(F.col("y") == 1, targets["high"]).otherwise(targets["low"])
     both = F.array(
         F.struct(F.lit(1.0).alias("platt_label"), (F.col("n") * target).alias("platt_weight")),

@@ -35,11 +35,14 @@ class Trained:
 
 
 def encode(features: DataFrame) -> Encoded:
-    """Gate, encode and weight the feature rows; written once, since every model reads them."""
+    """Gate, weight and encode the feature rows; written once, since every model reads them.
+
+    Weights come first: their one-row subquery then counts plain feature rows, not encoded ones.
+    """
     enforce(train_input_gate(features))
     enforce(both_classes_gate(features.filter(F.col(SPLIT) == TRAIN)))
-    rows, encodings, rate = encode_splits(features)
-    return Encoded(stage(class_weight(rows), "encoded"), encodings, rate)
+    rows, encodings, rate = encode_splits(class_weight(features))
+    return Encoded(stage(rows, "encoded"), encodings, rate)
 
 
 def train(
