@@ -2,7 +2,7 @@
 
 Only headers travel by payload digest: the digest, length and page id of every page are grouped by digest, the page with the largest id
 becomes the response, the other pages of the digest are joined back to it as revisits, and payloads are written for
-responses alone, under fresh headers. Archives are plain WARC/1.1 files that Spark writes and reads, so they may lie in any store that
+responses alone, under fresh headers. Archives are gzipped WARC/1.1 files that Spark writes and reads, so they may lie in any store that
 Spark reaches. A record ends with two line breaks; that is the line separator given to the text writer, so a row
 is a record. Files are cut by size, and reading takes a file per row, walking from record to record by Content-Length.
 
@@ -13,6 +13,9 @@ with one, and where no page of a digest has an id, all are responses; an empty t
 
 from __future__ import annotations
 
+import base64
+import gzip
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -71,8 +74,8 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str =
     heads = stage(body.select("page_id", "digest", "payload_bytes"), "warc-heads")
     found = resolve(heads, min_bytes).where("origin IS NOT NULL").select("page_id", "digest", "origin").distinct()
     total = heads.agg(F.sum("payload_bytes")).first()[0] or 0
-    # ids may repeat with another payload: the digest belongs to the key
-    marked = body.join(found, ["page_id", "digest"], "left")
+    # ids may repeat with another payload: the digest belongs to the key; payloads move once, to the join's and the files' layout
+    marked = body.repartition(max(1, -(-total // file_bytes)), "page_id", "digest").join(found, ["page_id", "digest"], "left")
     revisit = F.col("origin").isNotNull()
     line = "\r\n"
     http = F.concat(
@@ -92,7 +95,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str =
         F.lit("Content-Length: "), F.octet_length("block"), F.lit(line + line),
     )
     records = marked.withColumn("block", block).select(F.concat(head, F.col("block")).alias("value"))
-    records.repartition(max(1, -(-total // file_bytes))).write.option("lineSep", RECORD_END).text(path)
+    records.write.option("lineSep", RECORD_END).option("compression", "gzip").text(path)
 
 
 _FIELD = re.compile(rb"^([A-Za-z-]+): ?(.*)$", re.M)
@@ -115,14 +118,11 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
 
     The digest of a response is checked against its payload; a record that does not match is an error.
     """
-    import base64
-    import hashlib
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for content in b["content"]:
                 rows = []
-                for fields, block in walk(content):
+                for fields, block in walk(gzip.decompress(content)):
                     raw = bytes(block)
                     cut = raw.index(b"\r\n\r\n") + 4
                     payload, kind = raw[cut:], fields[b"warc-type"].decode()
