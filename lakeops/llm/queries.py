@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import bpe, quality, warc
+from lakeops.llm import bpe, html_text, quality, warc
 from lakeops.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -28,7 +32,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op6_bpe, op8_warc, op10_quality_rules)}
+    return {f.__name__: f for f in (op3_html_text, op6_bpe, op8_warc, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
