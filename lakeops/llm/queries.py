@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import bpe, html_text, quality, warc
+from lakeops.llm import bpe, html_text, near_dup, packing, quality, warc
 from lakeops.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -26,13 +30,17 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_html_text, op6_bpe, op8_warc, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_near_dup, op3_html_text, op6_bpe, op8_warc, op9_packing, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
