@@ -3,11 +3,10 @@
 1. A document's set holds the hashes of its distinct word shingles. Each of 70 permutations gives the smallest and the largest hash of the set,
    140 unbiased signature values for 70 evaluations; consecutive minima, and consecutive maxima, form the bands.
 2. Documents with equal sets collapse into one class, so that thousands of copies cost one row afterwards.
-3. Classes that share a band value are candidates. A bucket never emits all its pairs: first every member is held against the smallest of its
-   bucket, and verified links are joined into components. Only where a bucket still spans several components are
-   its pairs across components verified, after further rounds against other members if there are many of them, since a link inside
-   a component can't change the result.
-4. A link is verified on full sets, in integers: 100 * intersection >= percent * union.
+3. Classes that share a band meet in a bucket, cut into blocks. A block compares signatures and returns a forest of the plausible pairs (agreement no more than
+   five standard deviations below the threshold), never the pairs. The forests' components are the clusters: every link lies within one.
+4. Full sets of a cluster meet in blocks. A block computes all intersections as a matrix product and returns a forest of the pairs with
+   100 * intersection >= percent * union, in integers. The forests' components are the result.
 
 The number of rows per band is the largest that misses a pair exactly at the threshold with a chance below ``MISS``; for 85 percent that
 is 28 bands of 5, for 80 percent 35 bands of 4.
@@ -26,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.llm.common import id_and_text
@@ -35,9 +34,8 @@ from lakeops.sources.staging import stage
 
 PERMUTATIONS = 70
 MISS = 1e-6
-#: Pairs across components are verified at once if there are at most so many per class; otherwise another round of hubs comes first.
-PAIRS_PER_CLASS = 4
-HUB_ROUNDS = 4
+#: Members of a block of signatures and of a block of sets: what a task compares at once.
+SIGNATURE_BLOCK, SET_BLOCK = 512, 96
 _U = np.uint64
 
 
@@ -83,10 +81,10 @@ def shingle_set(text: str, words: int, hashes: WordHashes) -> np.ndarray:
     return np.unique(mix(functools.reduce(np.add, parts) + _U(words)))
 
 
-def bands(shingles: np.ndarray, rows: int) -> np.ndarray:
-    """A signed 64-bit key per band; band i of one document equals band i of another if all its signature values do."""
+def bands(shingles: np.ndarray, rows: int) -> tuple[np.ndarray, bytes]:
+    """A signed 64-bit key per band, equal for two documents if all its signature values are; and a byte of each value."""
     if not len(shingles):
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int64), b""
     scale, shift, odd = constants()
     low = high = None
     for at in range(0, len(shingles), 2048):
@@ -96,51 +94,120 @@ def bands(shingles: np.ndarray, rows: int) -> np.ndarray:
         high = most if high is None else np.maximum(high, most)
     n = PERMUTATIONS // rows
     grouped = np.concatenate([x[: n * rows].reshape(n, rows) for x in (low, high)])
-    return mix((grouped * odd[:rows]).sum(1) + np.arange(2 * n, dtype=_U)).view(np.int64)
+    keys = mix((grouped * odd[:rows]).sum(1) + np.arange(2 * n, dtype=_U)).view(np.int64)
+    return keys, (mix(np.concatenate([low, high])) >> _U(56)).astype(np.uint8).tobytes()
 
 
 def signatures(docs: DataFrame, words: int, rows: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (128-bit hash of the set), bands; docs has doc_id and text."""
+    """doc_id, n_shingles, set_key (128-bit hash of the set), bands, sig; docs has doc_id and text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for b in batches:
             sets = [shingle_set(t, words, hashes) for t in b["text"]]
+            signed = [bands(s, rows) for s in sets]
             yield pd.DataFrame(
                 {
                     "doc_id": b["doc_id"].astype("Int64"),
                     "n_shingles": [len(s) for s in sets],
                     "set_key": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
-                    "bands": [bands(s, rows) for s in sets],
+                    "bands": [k for k, _ in signed],
+                    "sig": [v for _, v in signed],
                 }
             )
 
-    return docs.mapInPandas(run, "doc_id long, n_shingles long, set_key binary, bands array<long>")
+    return docs.mapInPandas(run, "doc_id long, n_shingles long, set_key binary, bands array<long>, sig binary")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of document ids whose sets are as similar as asked for."""
-
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
-        for b in batches:
-            yield pd.DataFrame({"node": b["node"], "members": [shingle_set(t, words, hashes).tobytes() for t in b["text"]]})
+def forest(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The smallest member of the component of each of n members under the links x-y."""
+    label = np.arange(n)
+    while len(x):
+        least = np.minimum(label[x], label[y])
+        np.minimum.at(label, x, least)
+        np.minimum.at(label, y, least)
+        label = label[label]
+        if (label[x] == label[y]).all():
+            break
+    return label
+
+
+def edges_of(node: np.ndarray, label: np.ndarray) -> pd.DataFrame:
+    away = label != np.arange(len(label))
+    return pd.DataFrame({"a": node[away], "b": node[label[away]]})
+
+
+def plausible_edges(frame: pd.DataFrame, agree: int) -> pd.DataFrame:
+    """A forest of the pairs of rows with equal (band, i, j) whose signatures agree in so many bytes; rows are sorted by that key."""
+    node = frame["node"].to_numpy(np.int64)
+    sig = np.frombuffer(b"".join(frame["sig"]), np.uint8).reshape(len(frame), -1)
+    keys = frame[["band", "i", "j"]].to_numpy(np.int64)
+    start = np.r_[True, (keys[1:] != keys[:-1]).any(1)]
+    group = np.cumsum(start)
+    found_x, found_y, step = [], [], 1
+    x = np.arange(len(frame) - 1)
+    while len(x := x[x + step < len(frame)]) and len(x := x[group[x] == group[x + step]]):
+        for part in np.array_split(x, -(-len(x) // 65536)):
+            same = (sig[part] == sig[part + step]).sum(1, dtype=np.int16) >= agree
+            found_x.append(part[same])
+            found_y.append(part[same] + step)
+        step += 1
+    if not found_x:
+        return pd.DataFrame({"a": node[:0], "b": node[:0]})
+    return edges_of(node, forest(len(frame), np.concatenate(found_x), np.concatenate(found_y))).drop_duplicates()
+
+
+def linked_edges(node: np.ndarray, sets: list[np.ndarray], percent: int) -> pd.DataFrame:
+    """A forest of the pairs of sets that are as similar as asked for."""
+    size = np.array([len(s) for s in sets])
+    k = len(sets)
+    if k == 2:
+        common = np.array([[size[0], c := len(np.intersect1d(*sets, assume_unique=True))], [c, size[1]]])
+    else:
+        value, column = np.unique(np.concatenate(sets), return_inverse=True)
+        row = np.repeat(np.arange(k), size)
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        common = np.zeros((k, k))
+        for at in range(0, len(value), 8192):
+            low, high = np.searchsorted(column, [at, at + 8192])
+            held = np.zeros((k, min(8192, len(value) - at)), np.float32)
+            held[row[low:high], column[low:high] - at] = 1
+            common += held @ held.T
+        common = common.astype(np.int64)
+    union = size[:, None] + size - common
+    x, y = np.nonzero(np.triu(100 * common >= percent * union, 1))
+    return edges_of(node, forest(k, x, y))
+
+
+def blocked(rows: DataFrame, key: str, nodes: str, block: int) -> DataFrame:
+    """Rows with (i, j) added: the members of a key, numbered in blocks, go to every pair of blocks that holds theirs."""
+    order = Window.partitionBy(key).orderBy(nodes)
+    placed = rows.withColumn("_at", F.floor((F.row_number().over(order) - 1) / block).cast("int"))
+    sizes = rows.groupBy(key).agg(F.floor((F.count("*") - 1) / block).cast("int").alias("_last"))
+    return (
+        placed.join(sizes, key)
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), "_last")))
+        .withColumns({"i": F.least("_at", "_other"), "j": F.greatest("_at", "_other")})
+        .drop("_at", "_other", "_last")
+    )
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            keep = []
-            for x, y in zip(b["set_a"], b["set_b"]):
-                x, y = np.frombuffer(x, _U), np.frombuffer(y, _U)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield b.loc[keep, ["a", "b"]]
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    # of rows that repeat an id, the text the class was made of is the one with the same key; links need no more than one text
-    texts = docs.join(wanted, docs["doc_id"] == wanted["node"]).select("node", "text")
-    members = stage(texts.mapInPandas(sets, "node long, members binary"), "sets")
-    left, right = (members.select(F.col("node").alias(n), F.col("members").alias(f"set_{n}")) for n in "ab")
-    return pairs.select("a", "b").join(left, "a").join(right, "b").mapInPandas(compare, "a long, b long").distinct()
+def grouped(batches: Iterator[pd.DataFrame], keys: list[str], at_least: int) -> Iterator[pd.DataFrame]:
+    """Frames that hold whole groups of a sorted stream of frames, of about ``at_least`` rows."""
+    held: list[pd.DataFrame] = []
+    for b in batches:
+        held.append(b)
+        if sum(map(len, held)) < at_least:
+            continue
+        frame = pd.concat(held, ignore_index=True)
+        last = (frame[keys] == frame[keys].iloc[-1]).all(axis=1).to_numpy()
+        whole = len(frame) - int(last.sum())
+        if whole:
+            yield frame.iloc[:whole].reset_index(drop=True)
+        held = [frame.iloc[whole:]]
+    if held and len(frame := pd.concat(held, ignore_index=True)):
+        yield frame
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -151,54 +218,40 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         signed.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("node")).where("node IS NOT NULL"), "classes"
     )
     keyed = signed.withColumnRenamed("doc_id", "node").join(classes, ["node", "set_key"], "left_semi").dropDuplicates(["node", "set_key"])
-    # the buckets of one class only can be left out: no partner shares them
-    rows = keyed.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
-    shared = rows.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("band")
-    buckets = stage(rows.join(shared, "band", "left_semi"), "buckets")
-    close = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"  # otherwise the sizes rule the link out
-
-    def hubs(members: DataFrame, order) -> DataFrame:
-        """Pairs of each member with the first of its bucket, where they lie in different components."""
-        hub = members.groupBy("band").agg(F.min(F.struct(order.alias("o"), "node", "n", "root")).alias("hub"))
-        found = members.join(hub, "band").where("root != hub.root").select(
-            F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"), F.col("n").alias("n_a"), F.col("hub.n").alias("n_b")
-        )
-        return found.where(close).select("a", "b").distinct()
-
-    def labelled(roots: DataFrame | None) -> DataFrame:
-        """Rows of buckets that span several components, with the component of each member."""
-        if roots is None:
-            return buckets.withColumn("root", F.col("node"))
-        rows = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rows = stage(rows, "labelled")
-        spans = rows.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
-        return stage(rows.join(spans, "band", "left_semi"), "spans")
-
-    n_classes = classes.count()
-    tried = stage(hubs(labelled(None), F.col("node")), "pairs")
-    links = stage(verified(tried, docs, words, percent), "links")
-    roots = connected(links)
-    for turn in range(1, HUB_ROUNDS + 1):
-        members = labelled(roots)
-        per_root = members.groupBy("band", "root").count()
-        squares = per_root.groupBy("band").agg(F.sum("count").alias("s"), F.sum(F.col("count") * F.col("count")).alias("q"))
-        across = squares.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0
-        if across <= PAIRS_PER_CLASS * n_classes:
-            break
-        pairs = stage(hubs(members, F.xxhash64("node", F.lit(turn))).join(tried, ["a", "b"], "left_anti"), "pairs")
-        links = stage(links.union(verified(pairs, docs, words, percent)), "links")
-        tried, roots = stage(tried.union(pairs), "pairs"), connected(links)
-    else:
-        members = labelled(roots)
-    x, y = (members.select("band", F.col("node").alias(n), F.col("n").alias(f"n_{n}"), F.col("root").alias(f"root_{n}")) for n in "ab")
-    rest = x.join(y, "band").where(F.expr("a < b AND root_a != root_b AND " + close)).select("a", "b").distinct()
-    rest = stage(rest.join(tried, ["a", "b"], "left_anti"), "pairs")
-    if not rest.isEmpty():
-        roots = connected(links.union(verified(rest, docs, words, percent)))
+    rows = keyed.select("node", "sig", F.explode("bands").alias("band"))
+    shared = keyed.select("node", F.explode("bands").alias("band")).groupBy("band")
+    shared = shared.agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("band")
+    buckets = blocked(rows.join(shared, "band", "left_semi"), "band", "node", SIGNATURE_BLOCK)
+    share = percent / 100
+    agree = int(2 * PERMUTATIONS * share - 5.2 * (2 * PERMUTATIONS * share * (1 - share)) ** 0.5)
+
+    def plausible(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in grouped(batches, ["band", "i", "j"], 20_000):
+            yield plausible_edges(frame, agree)
+
+    def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in grouped(batches, ["cluster", "i", "j"], 500):
+            for _, group in frame.groupby(["cluster", "i", "j"], sort=False):
+                sets = [np.frombuffer(t, _U) for t in group["members"]]
+                yield linked_edges(group["node"].to_numpy(np.int64), sets, percent)
+
+    def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = WordHashes()
+        for b in batches:
+            sets = [shingle_set(t, words, hashes).tobytes() for t in b["text"]]
+            yield pd.DataFrame({"node": b["node"], "cluster": b["cluster"], "members": sets})
+
+    by_band = buckets.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    clusters = connected(by_band.mapInPandas(plausible, "a long, b long"))
+    clusters = clusters.union(clusters.select("root", "root").distinct()).toDF("node", "cluster")
+    texts = docs.join(clusters, docs["doc_id"] == clusters["node"]).select("node", "cluster", "text")
+    members = stage(texts.mapInPandas(sets_of, "node long, cluster long, members binary"), "sets").dropDuplicates(["node", "members"])
+    blocks = blocked(members, "cluster", "node", SET_BLOCK).repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    roots = connected(blocks.mapInPandas(linked, "a long, b long"))
     components = classes.join(roots, "node", "left").select("set_key", F.coalesce("root", "node").alias("root"))
-    return signed.join(components, "set_key", "left").select(
+    return signed.select("doc_id", "n_shingles", "set_key").join(components, "set_key", "left").select(
         "doc_id",
         "n_shingles",
-        F.when(F.col("root").isNotNull(), F.col("root")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.coalesce("root", "doc_id").alias("component_id"),
         F.col("doc_id").eqNullSafe(F.coalesce("root", "doc_id")).alias("kept"),
     )
