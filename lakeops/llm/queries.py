@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import bpe, html_text, near_dup, packing, quality, warc
+from lakeops.llm import bpe, html_text, near_dup, packing, quality, suffix_dedup, warc
 from lakeops.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -40,7 +44,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_near_dup, op3_html_text, op6_bpe, op8_warc, op9_packing, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_near_dup, op2_suffix_dedup, op3_html_text, op6_bpe, op8_warc, op9_packing, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
