@@ -1,28 +1,61 @@
 """The corpus pipeline: quality rules, near-duplicates, repeated passages, packing.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame, written as Parquet and read again before the next stage.
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, written as Parquet and read again before the next stage. All
+but the last return the columns of the documents. Edge cases are those of the operators; rows that repeat an id share its verdict
+in the first two stages, and a document of which nothing is left stays with an empty text.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import quality
+from lakeops.llm import near_dup, packing, quality, suffix_dedup
 from lakeops.llm.common import table
 from lakeops.sources.staging import stage
 
 
+def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The documents whose id is not among the rejected ones."""
+    gone = rejected.select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     verdicts = quality.quality_rules(docs, table(spark, sf_dir, "labels"))
-    rejected = verdicts.where("NOT kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    return without(docs, verdicts.where("NOT kept"))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity from 0.8."""
+    return without(docs, near_dup.near_duplicates(docs, words=5, percent=80).where("NOT kept"))
+
+
+def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the bytes that 400-byte strings found elsewhere cover."""
+    left = suffix_dedup.remove_repeats(docs, with_text=True).where("n_removed > 0").dropDuplicates(["doc_id", "text_tag"])
+    changed = left.select(F.col("doc_id").alias("_id"), "text_tag", "kept_text")
+    tagged = docs.withColumn("_tag", F.xxhash64(F.coalesce("text", F.lit(""))))
+    joined = tagged.join(changed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("text_tag")), "left")
+    text = F.coalesce("kept_text", "text")
+    return joined.withColumns({"text": text, "n_chars": F.when(F.col("_id").isNull() & F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.char_length(text).cast("long"))}).select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 2048 tokens with their sequence and place."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("quality_rules", quality_stage)]
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("repeated_passages", repeated_passage_stage),
+    ("packing", packing_stage),
+]
 
-#: The stages hash, train thresholds and tokenize, which SQL can't express; tests compare with brute force instead.
+#: The stages hash and tokenize, which SQL can't express; tests compare with brute force instead.
 ORACLE_SQL = None
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import bpe, html_text, near_dup, packing, quality, suffix_dedup, warc
+from lakeops.llm import ann, bpe, html_text, license_scan, lm_score, near_dup, packing, quality, suffix_dedup, warc
 from lakeops.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,11 +25,24 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
@@ -44,7 +57,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_near_dup, op2_suffix_dedup, op3_html_text, op6_bpe, op8_warc, op9_packing, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_near_dup, op2_suffix_dedup, op3_html_text, op4_nearest, op5_lm_score, op6_bpe, op7_license_scan, op8_warc, op9_packing, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

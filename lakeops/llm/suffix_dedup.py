@@ -205,9 +205,10 @@ def divide(rows: DataFrame, *carried: str) -> tuple[DataFrame, DataFrame, DataFr
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with_text the bytes that are left.
+    """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with_text kept_text and text_tag.
 
-    The remaining text is decoded as UTF-8 without the parts of characters that a cut may leave.
+    kept_text is decoded as UTF-8 without the parts of characters that a cut may leave; text_tag is the xxhash64 of the input text,
+    which with the id leads back to the row.
     """
     if length <= GRAM:
         raise ValueError(f"length must be above {GRAM}")
@@ -238,12 +239,12 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
                     rows = []
             yield pd.DataFrame(rows, columns=["key", "ctx", "copies", "off", "data"])
 
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept_text"] if with_text else [])]
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept_text", "text_tag"] if with_text else [])]
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for doc, text, spans in zip(b["doc_id"], b["text"], b["spans"]):
+            for doc, tag, text, spans in zip(b["doc_id"], b["tag"], b["text"], b["spans"]):
                 data, kept, merged = text.encode(), [], []
                 for s, e in sorted((x["first"], x["last"]) for x in spans) if spans is not None else ():
                     if merged and s <= merged[-1][1]:
@@ -256,7 +257,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
                     at = e
                 left = b"".join([*kept, data[at:]])
                 row = (doc, len(data), len(data) - len(left), len(merged), hashlib.sha256(left).hexdigest())
-                rows.append((*row, left.decode(errors="ignore")) if with_text else row)
+                rows.append((*row, left.decode(errors="ignore"), tag) if with_text else row)
             yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
     schema = "did long, tag long, s int, e int, off int, key long, ctx long"
@@ -275,5 +276,5 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     marks = mixed.join(solve(contexts, length), ["key", "ctx"]).selectExpr("did", "tag", "s + first AS first", "s + last AS last")
     marks = marks.union(same.select("did", "tag", "s", "e"))
     spans = marks.groupBy("did", "tag").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string" if with_text else "")
-    return docs.join(spans, ["did", "tag"], "left").select("doc_id", "text", "spans").mapInPandas(finish, schema)
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string, text_tag long" if with_text else "")
+    return docs.join(spans, ["did", "tag"], "left").select("doc_id", "tag", "text", "spans").mapInPandas(finish, schema)
