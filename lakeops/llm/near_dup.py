@@ -218,10 +218,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         signed.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("node")).where("node IS NOT NULL"), "classes"
     )
     keyed = signed.withColumnRenamed("doc_id", "node").join(classes, ["node", "set_key"], "left_semi").dropDuplicates(["node", "set_key"])
-    rows = keyed.select("node", "sig", F.explode("bands").alias("band"))
-    shared = keyed.select("node", F.explode("bands").alias("band")).groupBy("band")
-    shared = shared.agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("band")
-    buckets = blocked(rows.join(shared, "band", "left_semi"), "band", "node", SIGNATURE_BLOCK)
+    rows = keyed.select("node", F.explode("bands").alias("band"))
+    shared = rows.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("band")
+    # signatures join only the rows whose band is shared, a small part of all
+    met = stage(rows.join(shared, "band", "left_semi"), "buckets")
+    buckets = blocked(met, "band", "node", SIGNATURE_BLOCK).join(keyed.select("node", "sig"), "node")
     share = percent / 100
     agree = int(2 * PERMUTATIONS * share - 5.2 * (2 * PERMUTATIONS * share * (1 - share)) ** 0.5)
 
