@@ -57,9 +57,9 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
         "stratum",
         f"transform(filter(split(t, '{pattern}'), x -> x != ''), x -> xxhash64(x)) AS h",
         # the characters taken out are white space of words, then symbols
-        r"cast(char_length(translate(t, ' \t\n\u000B\f\r', '')) AS long) AS word_chars",
+        r"cast(char_length(translate(t, ' \t\n\u000B\u000C\r', '')) AS long) AS word_chars",
         "cast(char_length(t) - char_length(translate(t, '#*$%&|<>', '')) AS long) AS n_symbols",
-        r"filter(split(t, '\n'), x -> translate(x, ' \t\n\u000B\f\r', '') != '') AS lines",
+        r"filter(split(t, '\n'), x -> translate(x, ' \t\n\u000B\u000C\r', '') != '') AS lines",
     )
     step = step.selectExpr(
         "doc_id",
