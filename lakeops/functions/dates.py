@@ -44,13 +44,13 @@ def parse_timestamp(
     A failed parse with an explicit pattern raises and catches an exception inside Spark, which
     costs far more than a parse, so a pattern is tried only on values of its shape; that
     condition is necessary for a match and changes no result. The default parse runs only on values that start with a
-    full ISO date, because it also takes partial and clock-dependent values (``today``,
+    full ISO date, its month and day padded or not, because it also takes partial and clock-dependent values (``today``,
     ``12:30``, ``2026``); ``lenient=True`` lets it see everything.
     """
     attempts = []
     if default:
         parsed = F.try_to_timestamp(c)
-        attempts.append(parsed if lenient else F.when(c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"), parsed))
+        attempts.append(parsed if lenient else F.when(c.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T]|$)"), parsed))
     for pattern in patterns:
         attempts.append(F.when(c.rlike(_shape(pattern)), F.try_to_timestamp(c, F.lit(pattern))))
     return F.coalesce(*attempts)

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.constants import ID, LABEL, MISSING_LABEL, NO, SAMPLE_CAP, SEED, SPLIT, YES
+from lakeops.constants import ID, LABEL, MISSING_LABEL, NO, SAMPLE_CAP, SEED, SPLIT, TRAIN, YES
 from lakeops.functions.hashing import hash_bucket, hash_split, md5_text
 from lakeops.functions.text import fill, prefix
 from lakeops.operators.scan import prefix_scan
@@ -71,12 +71,13 @@ def feature_table(base: DataFrame, split_method: str = "xxhash64") -> DataFrame:
 
 
 def cap_sample(df: DataFrame, n: int = SAMPLE_CAP, split: str = SPLIT, seed: int = SEED) -> DataFrame:
-    """Bernoulli sample of about ``n`` rows of every split that has more; smaller ones stay whole.
+    """Bernoulli sample of about ``n`` training rows if there are more; the other splits, which measure, stay whole.
 
     Sampling is the operator's purpose here; nothing in the training job calls it by default.
     """
-    sizes = {r[split]: r["n"] for r in df.groupBy(split).agg(F.count("*").alias("n")).collect()}
-    return df.sampleBy(split, {s: min(1.0, n / size) for s, size in sizes.items()}, seed)
+    size = df.filter(F.col(split) == TRAIN).count()
+    others = df.filter(~F.col(split).eqNullSafe(F.lit(TRAIN)))
+    return df.filter(F.col(split) == TRAIN).sample(min(1.0, n / max(size, 1)), seed).unionByName(others)
 
 
 def stratified_halves(

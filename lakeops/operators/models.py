@@ -47,7 +47,7 @@ from lakeops.constants import (
 )
 from lakeops.operators import curves
 from lakeops.operators.features import stratified_halves
-from lakeops.sources.staging import spread, stage
+from lakeops.sources.staging import stage
 
 _OUTPUTS = {
     "featuresCol": "features",
@@ -87,6 +87,11 @@ def assemble(df: DataFrame, columns: Iterable[str] = MODEL_INPUTS) -> DataFrame:
     return assembler(columns).transform(df)
 
 
+#: Partitions of the training rows; part of what a fitted forest depends on, as seeds are.
+FIT_PARTITIONS = 16
+ID = "complaint_id"
+
+
 def importance_table(spark: SparkSession, columns: Iterable[str], importances: Iterable[float]) -> DataFrame:
     """Inputs ranked by importance, ties in input order; one row per input column."""
     ranked = sorted(zip(columns, map(float, importances), strict=True), key=lambda p: -p[1])
@@ -96,11 +101,23 @@ def importance_table(spark: SparkSession, columns: Iterable[str], importances: I
     )
 
 
+def fixed_layout(train: DataFrame, columns: Iterable[str], partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Training rows in a layout that depends on the rows alone.
+
+    Bagging draws per partition, so a fit depends on how rows are laid out. Hashing by id (by all columns where there is none) into
+    a given number of partitions and sorting there makes fits repeat on any machine and any input files. Give more ``partitions`` for more data.
+    """
+    wanted = [*columns, LABEL, WEIGHT]
+    keys = [ID] if ID in train.columns else wanted
+    rows = train.select(*dict.fromkeys([*keys, *wanted])).repartition(partitions, *keys)
+    return rows.sortWithinPartitions(*dict.fromkeys([*keys, *wanted])).select(*wanted)
+
+
 def select_features(train: DataFrame, columns: Iterable[str] = MODEL_INPUTS) -> DataFrame:
     """Importance table of a selector forest over all candidate inputs."""
     columns = list(columns)
     selector = RandomForestClassifier(**_OUTPUTS, **SELECTOR_PARAMS)
-    model = selector.fit(assemble(spread(train.select(*columns, LABEL, WEIGHT)), columns))
+    model = selector.fit(assemble(fixed_layout(train, columns), columns))
     return importance_table(train.sparkSession, columns, model.featureImportances.toArray())
 
 
@@ -112,7 +129,7 @@ def top_features(importances: DataFrame, k: int = TOP_FEATURES) -> list[str]:
 def fit(estimator, train: DataFrame, columns: Iterable[str]) -> PipelineModel:
     """Assemble and fit one learner on weighted training rows."""
     columns = list(columns)
-    rows = spread(train.select(*columns, LABEL, WEIGHT))
+    rows = fixed_layout(train, columns)
     return Pipeline(stages=[assembler(columns), estimator]).fit(rows)
 
 
@@ -212,7 +229,7 @@ def tune(estimator, grid: Mapping[str, list], train: DataFrame, columns: Iterabl
         seed=SEED,
         parallelism=parallelism,
     )
-    rows = assemble(spread(train.select(*columns, LABEL, WEIGHT)), columns).select("features", LABEL, WEIGHT)
+    rows = assemble(fixed_layout(train, columns), columns).select("features", LABEL, WEIGHT)
     fitted = search.fit(rows)
     table = train.sparkSession.createDataFrame(
         [

@@ -470,33 +470,21 @@ def group_counts(df: DataFrame, *groups: str) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Pearson matrix as rows, from one pass over the upper triangle, mirrored.
+    """Pearson matrix as rows, from one pass over the rows with a moment per pair of the upper triangle, mirrored.
 
-    Each row is unfolded to its column pairs, and the moments are taken per pair, combined before
-    the shuffle. One aggregate with the moments of all pairs would be too wide for code generation.
-    A constant column has no correlation and gives null (``corr`` itself raises a division by zero
-    for it in ANSI mode).
+    Rows missing one value of a pair don't count for that pair. A constant column has no correlation and gives null
+    (``corr`` itself raises a division by zero for it in ANSI mode).
     """
     columns = list(columns)
     indexed = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("i"),
-                F.lit(j).alias("j"),
-                F.col(columns[i]).cast("double").alias("x"),
-                F.col(columns[j]).cast("double").alias("y"),
-            )
-            for i, j in indexed
-        ]
-    )
-    spread = F.stddev_pop("x") * F.stddev_pop("y")
-    halves = (
-        df.select(F.inline(pairs))
-        .filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-        .groupBy("i", "j")
-        .agg((F.covar_pop("x", "y") / F.nullif(spread, F.lit(0.0))).alias("r"))
-    )
+    value = [F.col(c).cast("double") for c in columns]
+
+    def r(i: int, j: int) -> Column:
+        x, y = F.when(value[j].isNotNull(), value[i]), F.when(value[i].isNotNull(), value[j])
+        return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
+
+    moments = df.agg(*[r(i, j).alias(f"_{i}_{j}") for i, j in indexed])  # one row
+    halves = moments.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"_{i}_{j}").alias("r")) for i, j in indexed])))
     mirrored = F.array(F.struct("i", "j", "r"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"), "r"))
     cells = halves.select(F.inline(mirrored))
 

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.sources.staging import spread
 
 TABLES = ("lineitem", "orders", "customer", "nation", "part", "supplier")
 
@@ -104,10 +103,10 @@ def complaints_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw layer: dirty all-text business columns plus lineage.
 
     The given files hold one row group each, which is one task of work; such a small table is
-    spread by the join key before the text columns are made.
+    dealt out by the join key before the text columns are made.
     """
     given = _given(spark, sf_dir, *TABLES)
-    given["lineitem"] = spread(given["lineitem"], "l_orderkey")
+    given["lineitem"] = given["lineitem"].repartition(8, "l_orderkey")
     return spark.sql(RAW_SQL, **given)
 
 

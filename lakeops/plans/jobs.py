@@ -7,6 +7,7 @@ published tables as they were. Tables live under ``root`` and are published as v
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -42,32 +43,45 @@ def bronze_job(
     lake: Lake,
     sources: Iterable[str] | DataFrame,
     ingestion_date: str,
-    members: str = "first",
+    members: str = "all",
     multiline: bool = True,
 ) -> DataFrame:
-    """Unpack archives, read their rows as text and replace the snapshot of ``ingestion_date``."""
+    """Unpack archives, read their rows as text and replace the snapshot of ``ingestion_date``.
+
+    Files are read header by header and their columns matched by name, so neither another order nor another set of
+    columns moves values; what a file lacks is null. ``members="first"`` accepts that further members of an archive are skipped.
+    """
     spark = lake.spark
     tables.ensure_schema(spark, lake.schema)
     folder = fresh_path(spark, "unpacked")
     files = stage(archives.unpack_archives(spark, sources, folder, members), "unpacked-files")
-    quality.enforce(quality.expect(files, {"unusable_archive": F.col("status") != "ok"}))
-
-    rows = delimited.normalise_columns(delimited.read_raw_csv(spark, f"{folder}/*", multiline))
-    rows = delimited.add_lineage(rows, ingestion_date)
-    origin = F.regexp_extract("_source_zip_path", r"/([0-9a-f]+)/[^/]+$", 1)
+    accepted = ("ok", "skipped") if members == "first" else ("ok",)
+    quality.enforce(quality.expect(files, {"unusable_archive": ~F.col("status").isin(*accepted)}))
+
+    files = files.filter(F.col("status") == "ok")
+    groups: dict[tuple, list[str]] = {}
+    for path, header in archives.headers(files).collect():  # a row per file; the reader needs the paths by name anyway
+        groups.setdefault(tuple(header), []).append(path)
+    read = [delimited.normalise_columns(delimited.read_raw_csv(spark, paths, multiline)) for _, paths in sorted(groups.items())]
+    read = [delimited.add_lineage(rows, ingestion_date) for rows in read]
+    rows = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), read)
+    origin = r"/([0-9a-f]+)/[^/]+$"
     archive_of = files.select(
-        F.regexp_extract("path", r"/([0-9a-f]+)/[^/]+$", 1).alias("_origin"), F.col("archive").alias("_archive")
+        F.regexp_extract("path", origin, 1).alias("_origin"),
+        F.col("archive").alias("_archive"),
+        F.regexp_extract("member", "[^/]*$", 0).alias("_member"),
     )
     rows = (
-        rows.withColumn("_origin", origin)
+        rows.withColumn("_origin", F.regexp_extract("_source_zip_path", origin, 1))
         .join(archive_of, "_origin", "left")
         .withColumn("_source_zip_path", F.col("_archive"))
-        .drop("_origin", "_archive")
+        .withColumn("_source_csv_name", F.col("_member"))
+        .drop("_origin", "_archive", "_member")
     )
     snapshot = stage(rows, "snapshot")
     quality.enforce(quality.bronze_gate(snapshot))
     tables.write_snapshot(snapshot, lake.path("bronze"))
-    tables.show_version(spark, lake.view("bronze"), lake.path("bronze"))
+    tables.show_version(spark, lake.view("bronze"), lake.path("bronze"), merge=True)
     return lake.read("bronze")
 
 

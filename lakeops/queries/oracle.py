@@ -12,7 +12,7 @@ def parse(c: str, default: bool = True, two_digit: bool = True, time: bool = Tru
     """Timestamp of a text, guarded by shape because DuckDB's formats accept more than Spark's."""
     parts = []
     if default:
-        parts.append(f"CASE WHEN regexp_matches({c}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN try_cast({c} AS TIMESTAMP) END")
+        parts.append(f"CASE WHEN regexp_matches({c}, '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}') THEN try_cast({c} AS TIMESTAMP) END")
     parts.append(f"CASE WHEN regexp_full_match({c}, '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}') THEN try_strptime({c}, '%m/%d/%Y') END")
     if two_digit:
         parts.append(f"CASE WHEN regexp_full_match({c}, '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{2}}') THEN try_strptime({c}, '%m/%d/%y') END")

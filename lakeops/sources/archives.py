@@ -39,10 +39,10 @@ def _copy_path(target: str, archive: str, member: str) -> str:
     return f"{target.rstrip('/')}/{digest}/m-{name}"
 
 
-def list_members(archives: DataFrame, members: str = "first") -> DataFrame:
+def list_members(archives: DataFrame, members: str = "all") -> DataFrame:
     """``(archive, member, status)`` of the delimited members of every archive path.
 
-    ``members`` is ``first`` (by position in the archive) or ``all``. An archive that cannot be used
+    ``members`` is ``all``, or ``first`` (by position in the archive), which lists the others as ``skipped``. An archive that cannot be used
     gives one row saying why: ``missing``, ``empty``, ``not a zip`` or ``no csv member``.
     """
     if members not in ("first", "all"):
@@ -67,8 +67,8 @@ def list_members(archives: DataFrame, members: str = "first") -> DataFrame:
                     out.append((path, None, "not a zip"))
                     continue
                 found = [n for n in names if n.lower().endswith(".csv")]
-                kept = found[:1] if members == "first" else found
-                out += [(path, n, "ok") for n in kept] or [(path, None, "no csv member")]
+                last = 1 if members == "first" else len(found)
+                out += [(path, n, "ok" if k < last else "skipped") for k, n in enumerate(found)] or [(path, None, "no csv member")]
             yield pd.DataFrame(out, columns=["archive", "member", "status"])
 
     return archives.select("archive").mapInPandas(rows, _LISTED)
@@ -78,7 +78,7 @@ def unpack_archives(
     spark: SparkSession,
     archives: Iterable[str] | DataFrame,
     target: str,
-    members: str = "first",
+    members: str = "all",
     parallelism: int | None = None,
 ) -> DataFrame:
     """Copy archive members to ``target``; ``(archive, member, path, bytes, status)`` per member.
@@ -101,7 +101,7 @@ def unpack_archives(
             out = []
             for archive, member, status in batch[["archive", "member", "status"]].itertuples(index=False):
                 if status != "ok":
-                    out.append((archive, None, None, None, status))
+                    out.append((archive, member if status == "skipped" else None, None, None, status))
                     continue
                 path = _copy_path(target, archive, member)
                 with _open(archive, "r") as source, zipfile.ZipFile(source) as packed:
@@ -114,3 +114,21 @@ def unpack_archives(
             yield frame
 
     return listed.mapInPandas(copy, _COPIED)
+
+
+def headers(files: DataFrame) -> DataFrame:
+    """``(path, header)``: the names in the first record of every unpacked file, in order."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import csv
+        import io
+
+        for batch in batches:
+            out = []
+            for path in batch["path"]:
+                with _open(path, "r") as source:
+                    lines = io.TextIOWrapper(source, encoding="utf-8-sig", newline="")
+                    out.append((path, next(csv.reader(lines), [])))
+            yield pd.DataFrame(out, columns=["path", "header"])
+
+    return files.select("path").mapInPandas(rows, "path string, header array<string>")

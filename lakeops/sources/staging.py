@@ -50,18 +50,3 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
     path = fresh_path(spark, name)
     df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
-
-
-def spread(df: DataFrame, *keys: str, rows_per_task: int = 20_000) -> DataFrame:
-    """Use all cores for work that is heavy per row, when the files give fewer tasks than that.
-
-    ``df`` should be a projection of a written table: its rows are counted first. Data with at
-    least one partition per core passes unchanged, without a count or a shuffle, and so does data
-    too small for more tasks to pay.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    present = df.rdd.getNumPartitions()
-    if present >= cores:
-        return df
-    wanted = min(cores, -(-df.count() // rows_per_task))
-    return df.repartition(wanted, *keys) if wanted > present else df

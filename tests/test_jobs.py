@@ -82,3 +82,23 @@ def test_training_publishes_reports_and_a_champion(lake):
     assert {r.dataset_split for r in metrics.collect()} == {"VALIDATION", "TEST"}
     tests = lake.read("features").filter(F.col("dataset_split") == "TEST").count()
     assert lake.read("test_predictions").count() == tests
+
+
+def test_headers_match_by_name_and_new_columns_stay(spark, tmp_path):
+    lake = jobs.Lake(spark, str(tmp_path / "lake"), "landing")
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("in/a.csv", "Complaint ID,State,Product,Date received\n1,TX,Loan,1/2/2025\n")
+        z.writestr("b.csv", "Complaint ID,Product,State,Date received\n2,Mortgage,CA,1/3/2025\n")
+    with zipfile.ZipFile(tmp_path / "c.zip", "w") as z:
+        z.writestr("c.csv", "Complaint ID,State,Product,Date received,Extra\n3,NY,Card,1/4/2025,new\n")
+    try:
+        jobs.bronze_job(lake, [str(tmp_path / "a.zip")], "2026-01-01")
+        jobs.bronze_job(lake, [str(tmp_path / "c.zip")], "2026-01-02")
+    except ExpectationError as broken:
+        pytest.fail(str(broken))
+    rows = lake.read("bronze").select("complaint_id", "state", "product", "_source_csv_name", "extra").collect()
+    assert sorted(map(tuple, rows)) == [
+        ("1", "TX", "Loan", "a.csv", None),
+        ("2", "CA", "Mortgage", "b.csv", None),
+        ("3", "NY", "Card", "c.csv", "new"),
+    ]

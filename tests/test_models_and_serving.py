@@ -203,3 +203,12 @@ def test_drift_compares_both_sides(spark):
         (K.LABEL, "positive"): (0.5, 0.5, False),
         (K.LABEL, "negative"): (0.5, 0.5, False),
     }
+
+
+def test_fits_do_not_depend_on_the_input_partitions(spark):
+    rows = spark.range(600).selectExpr(
+        "cast(id AS string) AS complaint_id", "rand(1) AS a", "rand(2) AS b", "cast(rand(3) > 0.7 AS int) AS y", "1.0D AS w"
+    )
+    rows = spark.createDataFrame(rows.collect(), rows.schema).withColumnsRenamed({"y": M.LABEL, "w": M.WEIGHT})
+    tables = [[tuple(r) for r in M.select_features(rows.repartition(n), ["a", "b"]).collect()] for n in (1, 4, 50)]
+    assert tables[0] == tables[1] == tables[2]
