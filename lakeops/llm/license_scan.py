@@ -67,10 +67,15 @@ def anchor_words(templates: dict[str, str] = TEMPLATES, percent: int = PERCENT)
     return sorted(chosen)
 
 
-def signature(shingles: str) -> str:
-    """SQL for the bands of an array of shingles: hashes of ROWS minima each."""
-    minima = [f"array_min(transform({shingles}, s -> xxhash64(s, {i})))" for i in range(BANDS * ROWS)]
-    return "array(" + ", ".join(f"xxhash64({', '.join(minima[b * ROWS : b * ROWS + ROWS])}, {b})" for b in range(BANDS)) + ")"
+def band(shingles: str, number: str) -> str:
+    """SQL for one band of an array of shingles: the hash of ROWS minima."""
+    minima = [f"array_min(transform({shingles}, s -> xxhash64(s, {number} * {ROWS} + {i})))" for i in range(ROWS)]
+    return f"xxhash64({', '.join(minima)}, {number})"
+
+
+def with_bands(rows: DataFrame, shingles: str) -> DataFrame:
+    """A row per band: rows with the band's key added as ``band``."""
+    return rows.selectExpr("*", f"explode(sequence(0, {BANDS - 1})) AS number").selectExpr("*", f"{band(shingles, 'number')} AS band").drop("number")
 
 
 def window_sizes(templates: dict[str, str] = TEMPLATES) -> list[tuple[int, int, int]]:
@@ -82,25 +87,25 @@ def window_sizes(templates: dict[str, str] = TEMPLATES) -> list[tuple[int, int,
 def template_bands(spark, templates: dict[str, str] = TEMPLATES) -> DataFrame:
     rows = [(name, size_class(len(w := words_of(text))), shingles_of(w)) for name, text in templates.items()]
     table = spark.createDataFrame(rows, "license string, class int, shingles array<string>")
-    return table.selectExpr("license", "class", "shingles AS t_shingles", f"explode({signature('shingles')}) AS band")
+    return with_bands(table.withColumnRenamed("shingles", "t_shingles"), "t_shingles")
 
 
 def windows(docs: DataFrame, templates: dict[str, str] = TEMPLATES, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, row, class, at, shingles) of the windows that hold an anchor word; docs has doc_id, row and text."""
+    """(doc_id, row, class, at, shingles) of the windows that hold an anchor word; row numbers the rows of docs, which has doc_id and text."""
     anchors = anchor_words(templates, percent)
-    some = docs.where(F.col("text").rlike("(?i)" + "|".join(anchors)))
     listed = ", ".join(f"'{w}'" for w in anchors)
-    tokens = some.selectExpr("doc_id", "row", "filter(split(lower(text), '[^a-z0-9]+'), w -> w != '') AS w")
-    sizes = ", ".join(f"struct({c} AS class, {n} AS n, {step} AS step)" for c, n, step in window_sizes(templates))
-    at = tokens.selectExpr("doc_id", "row", "w", f"filter(sequence(0, size(w) - 1), i -> w[i] IN ({listed})) AS anchors").where("size(anchors) > 0")
+    some = docs.where(F.col("text").rlike("(?i)" + "|".join(anchors)))
+    # no filter passes the row number, so the words are split once and not for every use of them
+    tokens = some.selectExpr("doc_id", "monotonically_increasing_id() AS row", "filter(split(lower(text), '[^a-z0-9]+'), w -> w != '') AS w")
+    placed = tokens.selectExpr("doc_id", "row", "w", f"filter(transform(w, (x, i) -> IF(x IN ({listed}), i, -1)), i -> i >= 0) AS anchors")
     # windows begin at multiples of the step; those that hold place p begin in (p - n, p]
-    at = at.selectExpr("doc_id", "row", "w", "anchors", f"explode(array({sizes})) AS k")
-    starts = (
-        "array_distinct(flatten(transform(anchors, p -> transform("
-        "sequence(greatest(0, (p - k.n + k.step) div k.step), p div k.step), m -> cast(m * k.step AS int)))))"
+    cuts = ", ".join(
+        "transform(array_distinct(flatten(transform(anchors, p -> transform("
+        f"sequence(greatest(0, (p - {n} + {step}) div {step}), p div {step}), m -> cast(m * {step} AS int))))),"
+        f" at -> struct({c} AS class, at, slice(w, at + 1, {n}) AS v))"
+        for c, n, step in window_sizes(templates)
     )
-    at = at.selectExpr("doc_id", "row", "w", "k", f"explode({starts}) AS at")
-    cut = at.selectExpr("doc_id", "row", "k.class AS class", "at", "slice(w, at + 1, k.n) AS v")
+    cut = placed.selectExpr("doc_id", "row", f"inline(flatten(array({cuts})))")
     joined = ", ' ', ".join(f"v[i + {k}]" for k in range(SHINGLE))
     return cut.selectExpr(
         "doc_id", "row", "class", "at",
@@ -114,9 +119,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, percent: int =
 
     Matching needs a join with the templates alone, a table of fixed size, so no text is shuffled.
     """
-    plain = id_and_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
-    cut = windows(plain, templates, percent)
-    signed = cut.selectExpr("*", f"explode({signature('shingles')}) AS band")
+    signed = with_bands(windows(id_and_text(docs, id_col, text_col), templates, percent), "shingles")
     hits = signed.join(F.broadcast(template_bands(docs.sparkSession, templates)), ["class", "band"])
     share = hits.selectExpr(
         "doc_id", "row", "license", "class", "at", "cast(100 * size(array_intersect(shingles, t_shingles)) AS int) AS got", "size(t_shingles) AS n"
