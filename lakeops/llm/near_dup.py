@@ -245,7 +245,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     by_band = buckets.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
     clusters = connected(by_band.mapInPandas(plausible, "a long, b long"))
     clusters = clusters.union(clusters.select("root", "root").distinct()).toDF("node", "cluster")
-    texts = docs.join(clusters, docs["doc_id"] == clusters["node"]).select("node", "cluster", "text")
+    # the members grow with the documents, so they are merged and never broadcast, at any size
+    texts = docs.join(clusters.hint("merge"), docs["doc_id"] == clusters["node"]).select("node", "cluster", "text")
     members = stage(texts.mapInPandas(sets_of, "node long, cluster long, members binary"), "sets").dropDuplicates(["node", "members"])
     blocks = blocked(members, "cluster", "node", SET_BLOCK).repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
     roots = connected(blocks.mapInPandas(linked, "a long, b long"))
