@@ -226,13 +226,15 @@ def test_lm_score(spark, docs, given):
         assert r.score == pytest.approx(brute_ppm([t.encode() for t in train], texts[r.doc_id].encode(), 4))
 
 
-def test_lm_words_beyond_the_hot_ones_and_smaller_orders(spark, given, monkeypatch):
+def test_lm_words_and_nodes_beyond_the_hot_ones(spark, given, monkeypatch):
     part = given.limit(40).select("doc_id", "text")
     want = {r.doc_id: r for r in lm_score.score_documents(part).collect()}
     monkeypatch.setattr(lm_score, "HOT_WORDS", 5)
+    monkeypatch.setattr(lm_score, "HOT_NODES", 50)
+    monkeypatch.setattr(lm_score, "CHUNK", 97)
     for r in lm_score.score_documents(part).collect():
         assert r.base_score == pytest.approx(want[r.doc_id].base_score) and r.n_known == want[r.doc_id].n_known
-    assert lm_score.trie(lm_score.train(part), 4, nodes=10).order == 2
+        assert r.score == pytest.approx(want[r.doc_id].score)
     assert lm_score.score_documents(part.limit(0)).count() == 0
     assert lm_score.adaptive_score(b"abc" * 30) > 3 * lm_score.adaptive_score(b"abc" * 10) / 2
 
