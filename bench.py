@@ -36,7 +36,8 @@ HEADLINE = (
     # files
     "read_raw_csv", "write_snapshot", "unpack_archives",
     # models
-    "select_features", "fit_tree", "fit_forest", "platt_calibrate", "predictions_table", "score_with_champion",
+    "select_features", "fit_tree", "fit_forest", "fit_gbt", "tune", "platt_calibrate", "predictions_table", "model_metrics",
+    "calibration_reliability", "promote_champion", "score_with_champion",
 )
 
 

@@ -266,13 +266,14 @@ def validation_half(encoded: DataFrame, half: int) -> DataFrame:
 def score_models(models: Iterable[ScoredModel], encoded: DataFrame) -> DataFrame:
     """Held-out rows of every model with their probability, written once.
 
-    Columns: model_name, the report columns, label, split and ``half`` (of VALIDATION; the
-    second half is the one thresholds are chosen on).
+    Columns: model_name, the report columns, label, split, ``half`` (of VALIDATION; the
+    second half is the one thresholds are chosen on), the calibrated ``probability`` and the learner's own ``raw_probability``.
     """
     held_out = stratified_halves(encoded.filter(F.col(SPLIT) != TRAIN), method="xxhash64")
     parts = [
-        predict(m.model, held_out).select(
-            F.lit(m.name).alias("model_name"), *REPORT_COLUMNS, LABEL, SPLIT, "half", "probability"
+        m.model.transform(held_out).select(
+            F.lit(m.name).alias("model_name"), *REPORT_COLUMNS, LABEL, SPLIT, "half",
+            score_column("probability").alias("probability"), score_column().alias("raw_probability"),
         )
         for m in models
     ]
@@ -282,6 +283,22 @@ def score_models(models: Iterable[ScoredModel], encoded: DataFrame) -> DataFrame
     return stage(union, "scored-models")
 
 
+def calibration_reliability(scored: DataFrame, bins: int = 10) -> DataFrame:
+    """Reliability bins per model of its raw and its calibrated probabilities (``kind``): what calibration changed."""
+    both = scored.select(
+        "model_name",
+        F.col(LABEL).alias("label"),
+        F.inline(
+            F.array(
+                F.struct(F.lit("raw").alias("kind"), F.col("raw_probability").alias("probability")),
+                F.struct(F.lit("calibrated").alias("kind"), F.col("probability").alias("probability")),
+            )
+        ),
+    )
+    groups = ("model_name", "kind")
+    return curves.reliability_bins(curves.cumulative_scores(curves.score_table(both, groups), groups), bins, groups)
+
+
 def choose_thresholds(scored: DataFrame, floor: float = RECALL_FLOOR) -> DataFrame:
     """Per model, the recall-floor threshold on the second half of VALIDATION."""
     rows = scored.filter((F.col(SPLIT) == VALIDATION) & (F.col("half") == 2))

@@ -50,9 +50,11 @@ def train(
     names: Iterable[str] = (M.TREE, M.FOREST, M.BOOSTED),
     tuned: bool = False,
     importances: DataFrame | None = None,
+    fitted: Iterable[M.ScoredModel] = (),
 ) -> Trained:
     """Select inputs (unless their ``importances`` are given), fit and calibrate the named learners, choose thresholds and evaluate.
 
+    Learners among the ``fitted`` models, which must read the same inputs, are taken as they are.
     ``tuned`` searches each learner's grid first (off by default, as it multiplies the fits).
     """
     train_rows = encoded.rows.filter(F.col(SPLIT) == TRAIN)
@@ -60,9 +62,11 @@ def train(
         importances = M.select_features(train_rows)
     selected = M.top_features(importances)
     learners = M.estimators()
-    models = []
+    models, given = [], {m.name: m for m in fitted}
     for name in names:
-        if tuned:
+        if name in given:
+            models.append(given[name])
+        elif tuned:
             base, _ = M.tune(learners[name], M.grids()[name], train_rows, selected)
             models.append(M.ScoredModel(name, base, M.calibrated(base, M.validation_half(encoded.rows, 1))))
         else:

@@ -31,9 +31,20 @@ def _importances(L):
     return L.keep("importances", lambda: models.select_features(_train_rows(L)))
 
 
+LEARNERS = (models.TREE, models.FOREST, models.BOOSTED)
+_NAMES = ", ".join(f"('{n}')" for n in LEARNERS)
+
+
+def _fit(L, name: str) -> models.ScoredModel:
+    def fit():
+        return models.fit_and_calibrate(name, models.estimators()[name], encoded_layer(L).rows, models.top_features(_importances(L)))
+
+    return L.keep(f"fit-{name}", fit)
+
+
 def _trained(L) -> training.Trained:
     def train():
-        return training.train(encoded_layer(L), (models.TREE, models.FOREST), importances=_importances(L))
+        return training.train(encoded_layer(L), LEARNERS, importances=_importances(L), fitted=[_fit(L, n) for n in LEARNERS])
 
     return L.keep("trained", train)
 
@@ -58,33 +69,73 @@ add(
     + _joined("oof", True).replace("SELECT complaint_id,", f"SELECT complaint_id, {', '.join(K.NUMERIC_COLUMNS)},").replace(", 9)", ", 15)")
     + f" WHERE f.dataset_split = 'TRAIN') SELECT complaint_id, {len(K.MODEL_INPUTS)} AS inputs, round({_TOTAL}, 9) AS total FROM indexed",
 )
-add("select_features", _importances)
+
+
+def _sound(score: str, rows):
+    """Importances lie in [0, 1] and add up to 1, or to 0 where nothing is split."""
+    total = rows.agg(F.sum(score)).scalar()
+    return F.col(score).between(0.0, 1.0).alias("in_range"), ((F.abs(total - 1) < 1e-9) | (total == 0)).alias("total_valid")
+
+
+def _selected(L):
+    ranked = _importances(L)
+    higher = ranked.select(F.col("selected_feature_rank").alias("r"), F.col("importance_score").alias("s"))
+    below = F.count(F.when(F.col("s") < F.col("importance_score"), 1))
+    rank = F.col("selected_feature_rank")
+    checked = ranked.join(higher, F.col("r") < rank, "left").groupBy("feature_name", rank, "importance_score").agg(
+        (F.count("r") == rank - 1).alias("rank_is_dense"), (below == 0).alias("rank_follows_importance")
+    )
+    return checked.select("feature_name", *_sound("importance_score", ranked), "rank_is_dense", "rank_follows_importance")
+
+
+add(
+    "select_features",
+    _selected,
+    "SELECT f AS feature_name, true AS in_range, true AS total_valid, true AS rank_is_dense, true AS rank_follows_importance"
+    f" FROM (VALUES {', '.join(f"('{c}')" for c in K.MODEL_INPUTS)}) v(f)",
+)
 
 
 def _fitted(name: str):
     def build(L):
         selected = models.top_features(_importances(L))
-        model = models.fit_and_calibrate(name, models.estimators()[name], encoded_layer(L).rows, selected)
-        return models.model_importances([model], selected)
+        rows = models.model_importances([_fit(L, name)], selected)
+        place = F.array_position(F.lit(selected), F.col("feature_name")).cast("int")
+        return rows.select("model_name", place.alias("position"), *_sound("importance_score", rows))
+
+    return build
+
+
+for _query, _name in (("fit_tree", models.TREE), ("fit_forest", models.FOREST), ("fit_gbt", models.BOOSTED)):
+    add(
+        _query,
+        _fitted(_name),
+        f"SELECT '{_name}' AS model_name, CAST(i AS INTEGER) AS position, true AS in_range, true AS total_valid FROM range(1, {K.TOP_FEATURES + 1}) r(i)",
+    )
+
+
+def _tuned(name: str, columns: dict[str, str]):
+    def build(L):
+        estimator, grid = models.estimators()[name], models.grids()[name]
+        _, table = models.tune(estimator, grid, _train_rows(L), models.top_features(_importances(L)))
+        points = [F.col("params")[parameter].alias(column) for parameter, column in columns.items()]
+        return table.select(*points, F.col("average_precision").between(0.0, 1.0).alias("score_in_range"))
 
     return build
 
 
-add("fit_tree", _fitted(models.TREE))
-add("fit_forest", _fitted(models.FOREST))
-add("fit_gbt", _fitted(models.BOOSTED))
 add(
     "tune",
-    lambda L: models.tune(
-        models.estimators()[models.TREE], models.grids()[models.TREE], _train_rows(L), models.top_features(_importances(L))
-    )[1].select(
-        F.col("params")["maxDepth"].alias("max_depth"),
-        F.col("params")["minInstancesPerNode"].alias("min_leaf"),
-        F.col("average_precision").between(0.0, 1.0).alias("score_in_range"),
-    ),
+    _tuned(models.TREE, {"maxDepth": "max_depth", "minInstancesPerNode": "min_leaf"}),
     "SELECT CAST(d AS DOUBLE) AS max_depth, CAST(m AS DOUBLE) AS min_leaf, true AS score_in_range"
     " FROM (VALUES (6), (8), (10)) a(d), (VALUES (25), (50), (100)) b(m)",
 )
+add(
+    "tune_forest",
+    _tuned(models.FOREST, {"numTrees": "trees", "maxDepth": "max_depth"}),
+    "SELECT CAST(t AS DOUBLE) AS trees, CAST(d AS DOUBLE) AS max_depth, true AS score_in_range"
+    " FROM (VALUES (50), (80), (120)) a(t), (VALUES (8), (10), (12)) b(d)",
+)
 
 # ---- calibration ---------------------------------------------------------------------------------
 
@@ -141,7 +192,7 @@ add(
     _predictions,
     FEATURES
     + f" SELECT m AS model_name, {_REPORT}, label_untimely_response, dataset_split, true AS probability_in_range,"
-    + " true AS decision_follows_threshold FROM features, (VALUES ('decision_tree'), ('random_forest')) v(m)"
+    + f" true AS decision_follows_threshold FROM features, (VALUES {_NAMES}) v(m)"
     + " WHERE dataset_split = 'TEST'",
 )
 
@@ -166,7 +217,7 @@ add(
     FEATURES
     + " SELECT m AS model_name, dataset_split, count(*) AS row_count, round(avg(label_untimely_response), 9)"
     + f" AS positive_label_rate, true AS counts_add_up, {K.TOP_FEATURES} AS feature_count"
-    + " FROM features, (VALUES ('decision_tree'), ('random_forest')) v(m) WHERE dataset_split <> 'TRAIN' GROUP BY 1, 2",
+    + f" FROM features, (VALUES {_NAMES}) v(m) WHERE dataset_split <> 'TRAIN' GROUP BY 1, 2",
 )
 
 
@@ -183,7 +234,7 @@ def _floor_met(L):
 add(
     "recall_floor",
     _floor_met,
-    "SELECT m AS model_name, true AS recall_floor_met FROM (VALUES ('decision_tree'), ('random_forest')) v(m)",
+    f"SELECT m AS model_name, true AS recall_floor_met FROM (VALUES {_NAMES}) v(m)",
 )
 add(
     "monitoring_gate",
@@ -191,7 +242,8 @@ add(
         _trained(L).metrics, _trained(L).predictions, [m.name for m in _trained(L).models]
     ),
     "SELECT n AS check_name, CAST(0 AS BIGINT) AS violations, true AS passed FROM (VALUES ('has_rows'), ('metric_rows'),"
-    " ('model_decision_tree_present'), ('model_random_forest_present'), ('predictions_present')) v(n)",
+    " ('model_decision_tree_present'), ('model_random_forest_present'), ('model_gradient_boosted_present'),"
+    " ('predictions_present')) v(n)",
 )
 
 # ---- promotion and serving -----------------------------------------------------------------------
@@ -211,7 +263,45 @@ def _champion(L):
     return metadata
 
 
-add("promote_champion", _champion)
+
+def _promotion(L):
+    """The promoted row against the maximum of the metrics, found by sorting."""
+    best = _trained(L).metrics.where(F.col("dataset_split") == K.VALIDATION).orderBy(F.desc("auc_pr"), F.desc("model_name")).limit(1)
+    best = best.select(F.col("model_name").alias("best"), F.col("auc_pr").alias("score"), F.col("selected_threshold").alias("threshold"))
+    same = F.col("model_name") == F.col("best")
+    return _champion(L).join(best, same, "left").select(
+        F.coalesce(same, F.lit(False)).alias("best_promoted"),
+        (F.col("validation_auc_pr") == F.col("score")).alias("same_score"),
+        (F.col("selected_threshold") == F.col("threshold")).alias("same_threshold"),
+        F.round("global_positive_rate", 9).alias("fallback_rate"),
+    )
+
+
+add(
+    "promote_champion",
+    _promotion,
+    ENCODED + " SELECT true AS best_promoted, true AS same_score, true AS same_threshold, round(g, 9) AS fallback_rate FROM rate",
+)
+
+
+def _calibration_reliability(L):
+    """Reliability bins of raw and of calibrated probabilities on TEST, reduced to what their row sets determine."""
+    bins = models.calibration_reliability(_trained(L).scored.where(F.col(K.SPLIT) == K.TEST))
+    positives = F.sum(F.col("fraction_positive") * F.col("row_count"))
+    return bins.groupBy("model_name", "kind").agg(
+        F.sum("row_count").alias("row_count"),
+        F.round(positives).cast("bigint").alias("positives"),
+        F.min(F.col("mean_predicted").between(0.0, 1.0)).alias("in_range"),
+    )
+
+
+add(
+    "calibration_reliability",
+    _calibration_reliability,
+    FEATURES
+    + " SELECT m AS model_name, k AS kind, count(*) AS row_count, CAST(sum(label_untimely_response) AS BIGINT) AS positives, true AS in_range"
+    + f" FROM features, (VALUES {_NAMES}) v(m), (VALUES ('raw'), ('calibrated')) w(k) WHERE dataset_split = 'TEST' GROUP BY 1, 2",
+)
 
 
 def _contract(L):
