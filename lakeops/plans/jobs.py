@@ -1,14 +1,14 @@
 """The jobs: land, clean, model as a star, derive features, train.
 
 Every job writes first, gates what it wrote, and then makes it visible: a broken rule leaves the
-published tables as they were. Tables live under ``root`` and are published as views of
+published tables as they were. What a job staged is removed when it ends, also by an error. Tables live under ``root`` and are published as views of
 ``schema``.
 """
 
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +20,7 @@ from lakeops.operators.star import build_fact, denormalise
 from lakeops.plans import training
 from lakeops.plans.layers import dimensions, silver_layer
 from lakeops.sources import archives, delimited, tables
-from lakeops.sources.staging import fresh_path, stage
+from lakeops.sources.staging import fresh_path, stage, tidied
 
 
 @dataclass(frozen=True)
@@ -39,6 +39,16 @@ class Lake:
         return quality.require_table(self.spark, self.view(table))
 
 
+def _tidy(job: Callable) -> Callable:
+    @functools.wraps(job)
+    def run(lake: Lake, *args, **kwargs):
+        with tidied(lake.spark):
+            return job(lake, *args, **kwargs)
+
+    return run
+
+
+@_tidy
 def bronze_job(
     lake: Lake,
     sources: Iterable[str] | DataFrame,
@@ -85,6 +95,7 @@ def bronze_job(
     return lake.read("bronze")
 
 
+@_tidy
 def silver_job(lake: Lake) -> DataFrame:
     """Clean, type and deduplicate all snapshots."""
     bronze = lake.read("bronze")
@@ -93,6 +104,7 @@ def silver_job(lake: Lake) -> DataFrame:
     )
 
 
+@_tidy
 def gold_job(lake: Lake) -> dict[str, DataFrame]:
     """Dimensions and fact; all five tables are switched after the gate over all of them.
 
@@ -110,6 +122,7 @@ def gold_job(lake: Lake) -> dict[str, DataFrame]:
     return {**{f"dim_{n}": d for n, d in dims.items()}, "fact": fact}
 
 
+@_tidy
 def features_job(lake: Lake) -> DataFrame:
     """The labelled feature table."""
     fact = lake.read("fact")
@@ -122,6 +135,7 @@ def features_job(lake: Lake) -> DataFrame:
     )
 
 
+@_tidy
 def train_job(
     lake: Lake, names: Iterable[str] = (models.TREE, models.FOREST, models.BOOSTED), tuned: bool = False
 ) -> DataFrame:

@@ -9,12 +9,17 @@ any executor.
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_default: dict[str, str] = {}
+#: The paths handed out in the innermost ``tidied`` block of this thread.
+_made: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("made", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,7 +42,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other step has used."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def tidied(spark: SparkSession) -> Iterator[None]:
+    """Remove on leaving, also by an error, what the block wrote to fresh paths; its results must not read from there."""
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for path in made:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:

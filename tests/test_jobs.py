@@ -1,5 +1,6 @@
 """The whole chain from archives to a promoted model, and a rerun of it."""
 
+import os
 import zipfile
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from lakeops.operators import models as M
 from lakeops.operators.quality import ExpectationError
 from lakeops.plans import jobs
+from lakeops.sources import staging
 
 HEADER = (
     "Date received,Product,Sub-product,Issue,Sub-issue,Consumer complaint narrative,Company,State,ZIP code,Tags,"
@@ -102,3 +104,16 @@ def test_headers_match_by_name_and_new_columns_stay(spark, tmp_path):
         ("2", "CA", "Mortgage", "b.csv", None),
         ("3", "NY", "Card", "c.csv", "new"),
     ]
+
+
+def test_staged_data_is_removed_also_after_an_error(spark):
+    with staging.tidied(spark):
+        kept = staging.fresh_path(spark, "seen")
+        spark.range(3).write.parquet(kept)
+        assert spark.read.parquet(kept).count() == 3
+    with pytest.raises(ValueError):
+        with staging.tidied(spark):
+            failed = staging.fresh_path(spark, "failed")
+            spark.range(3).write.parquet(failed)
+            raise ValueError
+    assert not os.path.exists(kept) and not os.path.exists(failed)
