@@ -15,6 +15,9 @@ from lakeops.llm import near_dup, packing, quality, suffix_dedup
 from lakeops.llm.common import table
 from lakeops.sources.staging import stage
 
+#: Fewest words of a repeated passage: over 50, however few bytes they have. 400 bytes, as op2 takes, are 60 words or more in most languages.
+PASSAGE_WORDS = 51
+
 
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """The documents whose id is not among the rejected ones."""
@@ -33,9 +36,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return without(docs, near_dup.near_duplicates(docs, words=5, percent=80).where("NOT kept"))
 
 
-def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the bytes that 400-byte strings found elsewhere cover."""
-    left = suffix_dedup.remove_repeats(docs, with_text=True).where("n_removed > 0").dropDuplicates(["doc_id", "text_tag"])
+def with_texts(docs: DataFrame, cut: DataFrame) -> DataFrame:
+    """The documents with the texts that the removal of repeats left."""
+    left = cut.where("n_removed > 0").dropDuplicates(["doc_id", "text_tag"])
     changed = left.select(F.col("doc_id").alias("_id"), "text_tag", "kept_text")
     tagged = docs.withColumn("_tag", F.xxhash64(F.coalesce("text", F.lit(""))))
     joined = tagged.join(changed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("text_tag")), "left")
@@ -43,6 +46,16 @@ def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return joined.withColumns({"text": text, "n_chars": F.when(F.col("_id").isNull() & F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.char_length(text).cast("long"))}).select(*docs.columns)
 
 
+def repeated_words_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of ``PASSAGE_WORDS`` words that are found elsewhere."""
+    return with_texts(docs, suffix_dedup.remove_repeats(docs, with_text=True, words=PASSAGE_WORDS))
+
+
+def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the bytes that 400-byte strings found elsewhere cover, which may hold few words or none."""
+    return with_texts(docs, suffix_dedup.remove_repeats(docs, with_text=True))
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 tokens with their sequence and place."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -51,6 +64,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [
     ("quality_rules", quality_stage),
     ("near_duplicates", near_duplicate_stage),
+    ("repeated_words", repeated_words_stage),
     ("repeated_passages", repeated_passage_stage),
     ("packing", packing_stage),
 ]

@@ -16,6 +16,10 @@ the input. Comparing whole corpora in one suffix array can't be spread; so the s
 Edge cases: a null or empty text has no bytes and loses none; texts shorter than ``length`` lose nothing, equal or not; copies of a document lose all
 their bytes if they are long enough; rows that repeat id and text are copies too; a null id is kept as such; other columns are
 ignored; an empty table gives no rows. Texts of any length are read whole, in overlapping chunks.
+
+With ``words`` the unit is the word: passages of that many words that occur elsewhere are removed, however few bytes they have. The same steps run over
+texts written as ``CODE`` bytes of each word's hash, so a passage of so many words always has the same length. White space between the words
+doesn't matter, and goes with the word before it.
 """
 
 from __future__ import annotations
@@ -31,10 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm.common import id_and_text
-from lakeops.llm.near_dup import grouped, mix
+from lakeops.llm.near_dup import WordHashes, grouped, mix
 from lakeops.sources.staging import stage
 
 GRAM = 100
+#: Bytes of a word's hash; differing passages are taken for equal with a chance of 2^-48 a pair.
+CODE = 6
 #: Windows that start in one chunk of a long text.
 CHUNK = 1 << 18
 #: Distinct contexts of an anchor that one suffix problem takes; beyond it the group is split.
@@ -84,6 +90,26 @@ def anchors(data: bytes, length: int) -> list[tuple[int, int, int, int, int]]:
     return found
 
 
+def word_codes(text: str, hashes: WordHashes) -> bytes:
+    """CODE bytes of the hash of each word of the text."""
+    found = np.array([hashes[w] for w in text.encode().split()], "<u8")
+    return found.view(np.uint8).reshape(-1, 8)[:, :CODE].tobytes()
+
+
+def word_starts(data: bytes) -> np.ndarray:
+    """Whether a word starts at each byte; spaces are those that split() of bytes knows."""
+    values = np.frombuffer(data, np.uint8)
+    space = (values == 32) | ((values >= 9) & (values <= 13))
+    return ~space & np.r_[True, space[:-1]]
+
+
+def bytes_of_words(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of bytes, up to the next word, of the words that lie wholly in spans (first and behind the last) of their codes."""
+    at = np.r_[np.flatnonzero(word_starts(data)), len(data)]
+    whole = [(-(-s // CODE), e // CODE) for s, e in spans]
+    return [(int(at[s]), int(at[e])) for s, e in whole if s < e]
+
+
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes sorted by at least ``depth`` symbols of 9 bits, by prefix doubling."""
     n = len(symbols)
@@ -204,23 +230,16 @@ def divide(rows: DataFrame, *carried: str) -> tuple[DataFrame, DataFrame, DataFr
     return mixed, kept.where("NOT mixed").drop("mixed"), stage(distinct, "contexts")
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with_text kept_text and text_tag.
-
-    kept_text is decoded as UTF-8 without the parts of characters that a cut may leave; text_tag is the xxhash64 of the input text,
-    which with the id leads back to the row.
-    """
-    if length <= GRAM:
-        raise ValueError(f"length must be above {GRAM}")
-    docs = id_and_text(docs, id_col, text_col)
-    # a row is known by its id and a hash of its text, as ids may repeat or be missing
-    docs = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("did"), F.xxhash64("text").alias("tag"))
+def repeated_spans(docs: DataFrame, length: int, coded: bool = False) -> DataFrame:
+    """(did, tag, spans): first and last of runs of windows that repeat, of the bytes or the coded words; docs has did, tag and text."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = WordHashes()
         for b in batches:
             rows = []
             for did, tag, text in zip(b["did"], b["tag"], b["text"]):
-                for p, s, e, key, ctx in anchors(text.encode(), length):
+                data = word_codes(text, hashes) if coded else text.encode()
+                for p, s, e, key, ctx in anchors(data, length):
                     rows.append((did, tag, s, e, p - s, key - (1 << 63), ctx - (1 << 63)))
                 if len(rows) > 50_000:
                     yield pd.DataFrame(rows, columns=["did", "tag", "s", "e", "off", "key", "ctx"])
@@ -228,10 +247,11 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
             yield pd.DataFrame(rows, columns=["did", "tag", "s", "e", "off", "key", "ctx"])
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = WordHashes()
         for b in batches:
             rows = []
             for text, spans in zip(b["text"], b["spans"]):
-                data = text.encode()
+                data = word_codes(text, hashes) if coded else text.encode()
                 for x in spans:
                     rows.append((x["key"], x["ctx"], x["copies"], x["off"], data[x["s"] : x["e"] + length]))
                 if len(rows) > 20_000:
@@ -239,18 +259,59 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
                     rows = []
             yield pd.DataFrame(rows, columns=["key", "ctx", "copies", "off", "data"])
 
+    schema = "did long, tag long, s int, e int, off int, key long, ctx long"
+    # so many words have twice the bytes, but for one
+    long = docs.where(F.octet_length("text") >= (length // CODE * 2 - 1 if coded else length))
+    found = stage(long.select("did", "tag", "text").mapInPandas(find, schema), "anchors")
+    found = found.withColumn("place", F.struct("did", "tag", "s", "e"))
+    mixed, same, distinct = divide(found, "place")
+    asked = distinct.groupBy("place.did", "place.tag").agg(
+        F.collect_list(F.struct("key", "ctx", "copies", "off", F.col("place.s").alias("s"), F.col("place.e").alias("e"))).alias("spans")
+    )
+    texts = long.select("did", "tag", "text")
+    contexts = stage(
+        texts.join(asked, ["did", "tag"]).select("text", "spans").mapInPandas(fetch, "key long, ctx long, copies long, off int, data binary"),
+        "context-bytes",
+    )
+    marks = mixed.join(solve(contexts, length), ["key", "ctx"]).selectExpr("did", "tag", "s + first AS first", "s + last AS last")
+    marks = marks.union(same.select("did", "tag", "s", "e"))
+    return marks.groupBy("did", "tag").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+
+
+def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans (first and behind the last), those that meet put together."""
+    merged: list[list[int]] = []
+    for s, e in sorted(spans):
+        if merged and s <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], e)
+        else:
+            merged.append([s, e])
+    return [(s, e) for s, e in merged]
+
+
+def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, words: int | None = None) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with_text kept_text and text_tag.
+
+    kept_text is decoded as UTF-8 without the parts of characters that a cut may leave; text_tag is the xxhash64 of the input text,
+    which with the id leads back to the row.
+    """
+    if words is not None:
+        length = CODE * words
+    if length <= GRAM:
+        raise ValueError(f"length must be above {GRAM}")
+    docs = id_and_text(docs, id_col, text_col)
+    # a row is known by its id and a hash of its text, as ids may repeat or be missing
+    docs = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("did"), F.xxhash64("text").alias("tag"))
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept_text", "text_tag"] if with_text else [])]
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for doc, tag, text, spans in zip(b["doc_id"], b["tag"], b["text"], b["spans"]):
-                data, kept, merged = text.encode(), [], []
-                for s, e in sorted((x["first"], x["last"]) for x in spans) if spans is not None else ():
-                    if merged and s <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], e + length)
-                    else:
-                        merged.append([s, e + length])
+                data, kept = text.encode(), []
+                merged = united([(x["first"], x["last"] + length) for x in spans] if spans is not None else [])
+                if words is not None:
+                    merged = bytes_of_words(data, merged)
                 at = 0
                 for s, e in merged:
                     kept.append(data[at:s])
@@ -260,21 +321,6 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
                 rows.append((*row, left.decode(errors="ignore"), tag) if with_text else row)
             yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
-    schema = "did long, tag long, s int, e int, off int, key long, ctx long"
-    long = docs.where(F.octet_length("text") >= length)
-    found = stage(long.select("did", "tag", "text").mapInPandas(find, schema), "anchors")
-    found = found.withColumn("place", F.struct("did", "tag", "s", "e"))
-    mixed, same, distinct = divide(found, "place")
-    asked = distinct.groupBy("place.did", "place.tag").agg(
-        F.collect_list(F.struct("key", "ctx", "copies", "off", F.col("place.s").alias("s"), F.col("place.e").alias("e"))).alias("spans")
-    )
-    texts = long.select("did", "tag", "text")
-    contexts = stage(
-        texts.join(asked, ["did", "tag"]).select("text", "spans").mapInPandas(fetch, "key long, ctx long, copies long, off int, data binary"),
-        "context-bytes",
-    )
-    marks = mixed.join(solve(contexts, length), ["key", "ctx"]).selectExpr("did", "tag", "s + first AS first", "s + last AS last")
-    marks = marks.union(same.select("did", "tag", "s", "e"))
-    spans = marks.groupBy("did", "tag").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string, text_tag long" if with_text else "")
+    spans = repeated_spans(docs, length, words is not None)
     return docs.join(spans, ["did", "tag"], "left").select("doc_id", "tag", "text", "spans").mapInPandas(finish, schema)
