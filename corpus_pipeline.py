@@ -1,14 +1,15 @@
 """The corpus pipeline: quality rules, near-duplicates, repeated passages, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, written as Parquet and read again before the next stage. All
-but the last return the columns of the documents. Edge cases are those of the operators; rows that repeat an id share its verdict
-in the first two stages, and a document of which nothing is left stays with an empty text.
+but the last return the columns of the documents. Edge cases are those of the operators; rows are known by their id and a
+hash of their text, so that rows without an id or with a repeated one are judged each by its own text, and a document of which nothing
+is left stays with an empty text.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.llm import near_dup, packing, quality, suffix_dedup
@@ -19,28 +20,45 @@ from lakeops.sources.staging import stage
 PASSAGE_WORDS = 51
 
 
-def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The documents whose id is not among the rejected ones."""
-    gone = rejected.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+def text_tag() -> Column:
+    """Hash of the text, as the operators make it."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def with_keys(docs: DataFrame) -> DataFrame:
+    """Documents with ``_key``: the id if no other text has it, else a hash of id and text beyond usual ids, so that those come first."""
+    keyed = docs.withColumn("_key", F.col("doc_id").cast("long")).withColumn("_tag", text_tag())
+    repeated = keyed.groupBy("_key").agg((F.min("_tag") < F.max("_tag")).alias("unlike")).where("unlike AND _key IS NOT NULL")
+    repeated = stage(repeated.select(F.col("_key").alias("_repeated")), "repeated-ids")
+    hashed = F.xxhash64("_key", "_tag").bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
+    if repeated.isEmpty():
+        return keyed.withColumn("_key", F.coalesce("_key", hashed)).drop("_tag")
+    joined = keyed.join(repeated, F.col("_key") == F.col("_repeated"), "left")
+    alone = F.when(F.col("_repeated").isNull(), F.col("_key"))
+    return joined.withColumn("_key", F.coalesce(alone, hashed)).drop("_tag", "_repeated")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    verdicts = quality.quality_rules(docs, table(spark, sf_dir, "labels"))
-    return without(docs, verdicts.where("NOT kept"))
+    verdicts = quality.quality_rules(docs, table(spark, sf_dir, "labels")).where("NOT kept")
+    gone = verdicts.select(F.col("doc_id").alias("_gone"), F.col("stratum").alias("_stratum"), F.col("text_tag").alias("_tag")).distinct()
+    # equal texts can be judged unlike in two strata
+    same = (text_tag() == F.col("_tag")) & (F.coalesce(F.col("lang").cast("string"), F.lit("")) == F.col("_stratum"))
+    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")) & same, "left_anti")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles, similarity from 0.8."""
-    return without(docs, near_dup.near_duplicates(docs, words=5, percent=80).where("NOT kept"))
+    keyed = with_keys(docs)
+    verdicts = near_dup.near_duplicates(keyed, words=5, percent=80, id_col="_key").where("NOT kept")
+    return keyed.join(verdicts.select(F.col("doc_id").alias("_key")).distinct(), "_key", "left_anti").select(*docs.columns)
 
 
 def with_texts(docs: DataFrame, cut: DataFrame) -> DataFrame:
     """The documents with the texts that the removal of repeats left."""
     left = cut.where("n_removed > 0").dropDuplicates(["doc_id", "text_tag"])
     changed = left.select(F.col("doc_id").alias("_id"), "text_tag", "kept_text")
-    tagged = docs.withColumn("_tag", F.xxhash64(F.coalesce("text", F.lit(""))))
+    tagged = docs.withColumn("_tag", text_tag())
     joined = tagged.join(changed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("text_tag")), "left")
     text = F.coalesce("kept_text", "text")
     return joined.withColumns({"text": text, "n_chars": F.when(F.col("_id").isNull() & F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.char_length(text).cast("long"))}).select(*docs.columns)

@@ -41,7 +41,7 @@ GOOD_WEIGHT = 20
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """Counts per document: n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words.
+    """Counts per document, with the hash of its text: n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words.
 
     A document stays in its row: words are hashed, 5-word windows are hashes of five hashes, and only documents with a window
     found twice sort their windows. No shuffle, and no more memory than a multiple of the document.
@@ -55,6 +55,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
     step = step.selectExpr(
         "doc_id",
         "stratum",
+        "xxhash64(t) AS text_tag",
         f"transform(filter(split(t, '{pattern}'), x -> x != ''), x -> xxhash64(x)) AS h",
         # the characters taken out are white space of words, then symbols
         r"cast(char_length(translate(t, ' \t\n\u000B\u000C\r', '')) AS long) AS word_chars",
@@ -64,6 +65,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
     step = step.selectExpr(
         "doc_id",
         "stratum",
+        "text_tag",
         "cast(size(h) AS long) AS n_words",
         "word_chars",
         "n_symbols",
@@ -87,7 +89,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
     )
     covered = "aggregate(transform(slice(p, 2, greatest(size(p), 1)), (q, j) -> least(5, q - p[j])), 5, (a, x) -> a + x)"
     return step.select(
-        "doc_id", "stratum", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
+        "doc_id", "stratum", "text_tag", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
         F.expr(f"cast(CASE WHEN p IS NULL THEN 0 ELSE {covered} END AS long)").alias("n_repeat_words"),
     )
 
@@ -145,12 +147,12 @@ def certify(counts: DataFrame, labels: DataFrame, max_false: float = 0.02, delta
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, max_false: float = 0.02, delta: float = 0.05, **columns: str) -> DataFrame:
-    """One row per document: the counts, base_failed, and kept (neither rule set rejects it)."""
+    """One row per document: the counts, base_failed, kept (neither rule set rejects it), and text_tag (xxhash64 of the text)."""
     counts = stage(features(docs, **columns), "quality")  # read for the labels and again for the verdicts
     cutoffs = certify(counts, labels, max_false, delta)
     judged = counts.join(cutoffs, "stratum", "left")
     above = " OR ".join(f"coalesce({share} > cutoffs['{rule}'], false)" for rule, (share, _) in RULES.items())
     return judged.selectExpr(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "stratum",
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "stratum", "text_tag",
         f"{BASE_FAILED} AS base_failed", f"NOT ({BASE_FAILED}) AND NOT ({above}) AS kept",
     )
