@@ -2,8 +2,9 @@
 
 Words are runs of letters and digits in lower case, shingles are ``SHINGLE`` words. A template matches where a window of the text holds at
 least ``PERCENT`` of its shingles. Windows belong to a size class and overlap so far that the place of any template of the class lies wholly
-in one of them. A window that matches has a Jaccard similarity to its template of at least ``PERCENT / 100 / (window + (1 - PERCENT / 100))``, sizes in
-templates, above 0.5 here; with ``BANDS`` bands of ``ROWS`` values a match is retrieved with a probability above 0.9999.
+in one of them. ``least_similarity`` is the smallest Jaccard similarity of a matching window to its template, computed from the sizes of both; the
+lowest of all templates is 0.37. There are as many bands of ``ROWS`` values as retrieve even that match in one window with a chance of a miss
+below ``MISS`` (``bands_needed``).
 
 Windows need not be cut everywhere: every template has anchor words such that more than (100 - PERCENT) of its shingles hold one of them, so a match
 always holds an anchor word, and only windows around anchor words are signed. That loses nothing and skips nearly all text.
@@ -14,6 +15,7 @@ occurs several times in a text is reported once, with its number of matching win
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import DataFrame
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 
 from lakeops.llm.common import id_and_text
 
-SHINGLE, PERCENT, BANDS, ROWS = 3, 80, 24, 2
+SHINGLE, PERCENT, ROWS, MISS = 3, 80, 1, 1e-5
 
 # Public notices, by their usual identifiers.
 TEMPLATES = {
@@ -67,15 +69,29 @@ def anchor_words(templates: dict[str, str] = TEMPLATES, percent: int = PERCENT)
     return sorted(chosen)
 
 
+def least_similarity(n_shingles: int, size: int, percent: int = PERCENT) -> float:
+    """Jaccard similarity of a template to a full window of so many words, all distinct, that holds just its share."""
+    need = -(-percent * n_shingles // 100)
+    return need / (n_shingles + max(need, size - SHINGLE + 1) - need)
+
+
+def bands_needed(templates: dict[str, str], percent: int = PERCENT) -> int:
+    """Bands that find every match in one window with a chance of a miss of at most MISS."""
+    sizes = {c: n for c, n, _ in window_sizes(templates)}
+    words = [words_of(t) for t in templates.values()]
+    least = min(least_similarity(len(shingles_of(w)), sizes[size_class(len(w))], percent) for w in words)
+    return math.ceil(math.log(MISS) / math.log1p(-(least**ROWS))) if least < 1 else 1
+
+
 def band(shingles: str, number: str) -> str:
     """SQL for one band of an array of shingles: the hash of ROWS minima."""
     minima = [f"array_min(transform({shingles}, s -> xxhash64(s, {number} * {ROWS} + {i})))" for i in range(ROWS)]
     return f"xxhash64({', '.join(minima)}, {number})"
 
 
-def with_bands(rows: DataFrame, shingles: str) -> DataFrame:
+def with_bands(rows: DataFrame, shingles: str, bands: int) -> DataFrame:
     """A row per band: rows with the band's key added as ``band``."""
-    return rows.selectExpr("*", f"explode(sequence(0, {BANDS - 1})) AS number").selectExpr("*", f"{band(shingles, 'number')} AS band").drop("number")
+    return rows.selectExpr("*", f"explode(sequence(0, {bands - 1})) AS number").selectExpr("*", f"{band(shingles, 'number')} AS band").drop("number")
 
 
 def window_sizes(templates: dict[str, str] = TEMPLATES) -> list[tuple[int, int, int]]:
@@ -84,10 +100,10 @@ def window_sizes(templates: dict[str, str] = TEMPLATES) -> list[tuple[int, int,
     return [(c, c + max(1, c // 4), max(1, c // 4) + 1) for c in classes]
 
 
-def template_bands(spark, templates: dict[str, str] = TEMPLATES) -> DataFrame:
+def template_bands(spark, templates: dict[str, str], percent: int = PERCENT) -> DataFrame:
     rows = [(name, size_class(len(w := words_of(text))), shingles_of(w)) for name, text in templates.items()]
     table = spark.createDataFrame(rows, "license string, class int, shingles array<string>")
-    return with_bands(table.withColumnRenamed("shingles", "t_shingles"), "t_shingles")
+    return with_bands(table.withColumnRenamed("shingles", "t_shingles"), "t_shingles", bands_needed(templates, percent))
 
 
 def windows(docs: DataFrame, templates: dict[str, str] = TEMPLATES, percent: int = PERCENT) -> DataFrame:
@@ -119,8 +135,8 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, percent: int =
 
     Matching needs a join with the templates alone, a table of fixed size, so no text is shuffled.
     """
-    signed = with_bands(windows(id_and_text(docs, id_col, text_col), templates, percent), "shingles")
-    hits = signed.join(F.broadcast(template_bands(docs.sparkSession, templates)), ["class", "band"])
+    signed = with_bands(windows(id_and_text(docs, id_col, text_col), templates, percent), "shingles", bands_needed(templates, percent))
+    hits = signed.join(F.broadcast(template_bands(docs.sparkSession, templates, percent)), ["class", "band"])
     share = hits.selectExpr(
         "doc_id", "row", "license", "class", "at", "cast(100 * size(array_intersect(shingles, t_shingles)) AS int) AS got", "size(t_shingles) AS n"
     )
