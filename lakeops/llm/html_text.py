@@ -49,6 +49,10 @@ _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<(?=[a-zA-Z])[^<>]*\Z", re.S
 )
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: Names that tell of a state of the page and not of what the element holds.
+_STATES = re.compile(r"(?:^|(?<=\s))(?:has|no|with|without)[_-]\S*", re.I)
+#: Names of lists whose entries are often article elements of their own.
+_LISTS = re.compile(r"(?:^|[\s_-])(?:comments?|replies|reply|respond|disqus|related|recommended)(?=$|[\s_-])", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none", re.I)
 _HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 _WORD = re.compile(r"\S+")
@@ -66,7 +70,8 @@ class Block(NamedTuple):
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, in_article, outside, heading, each with what stands around it
+    # tag, in_article, outside, heading, outside also for an article in it; each with what stands around it
+    stack: list[tuple[str, bool, bool, bool, bool]] = []
     pieces: list[str] = []
     linked, in_link = 0, False
 
@@ -74,7 +79,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         text = " ".join(html.unescape("".join(pieces)).split()) if pieces else ""
         if text:
-            _, article, outside, heading = stack[-1] if stack else ("", False, False, False)
+            _, article, outside, heading, _ = stack[-1] if stack else ("", False, False, False, False)
             found.append(Block(text, text.count(" ") + 1, linked, article, outside, heading))
         pieces.clear()
         linked = 0
@@ -118,13 +123,17 @@ def blocks(page: str) -> list[Block]:
         elif tag not in VOID_TAGS and tag in BLOCK_TAGS | OUTSIDE_TAGS | {"span"}:
             if tag in ("p", "li", "td", "th", "dd", "dt") and stack and stack[-1][0] == tag:
                 stack.pop()  # its end may be left out
-            _, article, outside, heading = stack[-1] if stack else ("", False, False, False)
-            names = " ".join(a or b or c for a, b, c in _NAMES.findall(token[3])) if token[3] else ""
+            _, article, outside, heading, closed = stack[-1] if stack else ("", False, False, False, False)
+            names = _STATES.sub(" ", " ".join(a or b or c for a, b, c in _NAMES.findall(token[3]))) if token[3] else ""
             away = tag in OUTSIDE_TAGS and not (article and tag in OWN_HEADER)
-            away = away or tag not in ("body", "html", "article", "main") and bool(OUTSIDE_NAMES.search(names))
             away = away or bool(token[3]) and bool(_HIDDEN.search(token[3]))
-            # an article inside what is no content, such as a reader comment, stays outside
-            stack.append((tag, article or tag in CONTENT_TAGS, outside or away, heading or tag in _HEADINGS))
+            named = tag not in ("body", "html", "article", "main") and bool(OUTSIDE_NAMES.search(names))
+            # an article inside what is no content by its tag, or in a list such as reader comments, stays outside; the name of a
+            # wrapper around the first article of a page says nothing about that article
+            closed = closed or away or named and (article or bool(_LISTS.search(names)))
+            if tag in CONTENT_TAGS:
+                outside = closed
+            stack.append((tag, article or tag in CONTENT_TAGS, outside or away or named, heading or tag in _HEADINGS, closed))
     flush()
     return found
 
