@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm.common import id_and_text
@@ -181,15 +181,16 @@ def linked_edges(node: np.ndarray, sets: list[np.ndarray], percent: int) -> pd.D
 
 
 def blocked(rows: DataFrame, key: str, nodes: str, block: int) -> DataFrame:
-    """Rows with (i, j) added: the members of a key, numbered in blocks, go to every pair of blocks that holds theirs."""
-    order = Window.partitionBy(key).orderBy(nodes)
-    placed = rows.withColumn("_at", F.floor((F.row_number().over(order) - 1) / block).cast("int"))
-    sizes = rows.groupBy(key).agg(F.floor((F.count("*") - 1) / block).cast("int").alias("_last"))
+    """Rows with (i, j) added: the members of a key, dealt into blocks by hash, go to every pair of blocks that holds theirs."""
+    # the count combines before the shuffle, and only keys beyond a block are joined: no task has to order or number a whole key
+    sizes = rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > block)
+    sizes = sizes.select(F.col(key).alias("_large"), F.ceil(F.col("_n") / block).cast("int").alias("_n"))
+    placed = rows.join(sizes, F.col(key) == F.col("_large"), "left").withColumn("_blocks", F.coalesce("_n", F.lit(1)))
     return (
-        placed.join(sizes, key)
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), "_last")))
+        placed.withColumn("_at", F.pmod(F.xxhash64(nodes), "_blocks").cast("int"))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
         .withColumns({"i": F.least("_at", "_other"), "j": F.greatest("_at", "_other")})
-        .drop("_at", "_other", "_last")
+        .drop("_at", "_other", "_blocks", "_large", "_n")
     )
 
 
