@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import ann, bpe, html_text, license_scan, lm_score, near_dup, packing, quality, suffix_dedup, warc
+from lakeops.llm import ann, bpe, html_text, license_scan, lm_score, near_dup, packing, quality, simhash, suffix_dedup, token_align, va_clusters, warc
 from lakeops.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,9 +56,50 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_align.align(table(spark, sf_dir, "documents"), a, b)
+
+
+def op12_va_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va_clusters.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dimension=64, scale=1024, seed="3:")
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_fingerprints(table(spark, sf_dir, "documents"), words=3, distance=3)
+
+
+def clusters_sql(k: int = 8, rounds: int = 10, dimension: int = 64, scale: int = 1024, seed: str = "3:") -> str:
+    """The clusters of op12 by all distances, one pair of tables a round."""
+    apart = "list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = [
+        f"""p AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+            WHERE len(embedding) = {dimension} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dimension})""",
+        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, vec_id, v) - 1 AS c, v
+            FROM (SELECT sha256('{seed}' || vec_id) AS h, vec_id, v FROM p ORDER BY h, vec_id, v LIMIT {k}))""",
+    ]
+    for n in range(rounds + 1):
+        steps.append(
+            f"""a{n} AS MATERIALIZED (SELECT r, vec_id, v, c, d FROM (
+                SELECT p.r, p.vec_id, p.v, c.c, {apart}::BIGINT AS d FROM p, c{n} AS c) QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)"""
+        )
+        if n < rounds:
+            steps.append(
+                f"""c{n + 1} AS MATERIALIZED (SELECT c{n}.c, coalesce(m.v, c{n}.v) AS v FROM c{n} LEFT JOIN (
+                    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM (
+                        SELECT c, i, sum(x) AS s, count(*) AS n FROM (SELECT c, unnest(v) AS x, unnest(range({dimension})) AS i FROM a{n}) GROUP BY c, i)
+                    GROUP BY c) AS m ON m.c = c{n}.c)"""
+            )
+    return f"""WITH {", ".join(steps)}
+        SELECT vec_id, a.c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+            (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+        FROM a{rounds} AS a JOIN c{rounds} AS c ON c.c = a.c"""
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_near_dup, op2_suffix_dedup, op3_html_text, op4_nearest, op5_lm_score, op6_bpe, op7_license_scan, op8_warc, op9_packing, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_near_dup, op2_suffix_dedup, op3_html_text, op4_nearest, op5_lm_score, op6_bpe, op7_license_scan, op8_warc, op9_packing, op10_quality_rules, op11_token_align, op12_va_clusters, op13_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_va_clusters": clusters_sql()}
