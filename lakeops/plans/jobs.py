@@ -1,14 +1,15 @@
 """The jobs: land, clean, model as a star, derive features, train.
 
 Every job writes first, gates what it wrote, and then makes it visible: a broken rule leaves the
-published tables as they were. What a job staged is removed when it ends, also by an error. Tables live under ``root`` and are published as views of
+published tables as they were. Tables that belong together, the star and the reports of a training, are switched as one by a manifest
+(``lake.star``, ``lake.reports``). What a job staged is removed when it ends, also by an error. Tables live under ``root`` and are published as views of
 ``schema``.
 """
 
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,9 @@ from lakeops.sources import archives, delimited, tables
 from lakeops.sources.staging import fresh_path, stage, tidied
 
 
+_FILE = "_file"
+
+
 @dataclass(frozen=True)
 class Lake:
     spark: SparkSession
@@ -38,6 +42,16 @@ class Lake:
     def read(self, table: str) -> DataFrame:
         return quality.require_table(self.spark, self.view(table))
 
+    def publish(self, name: str, versions: Mapping[str, str]) -> tables.TableSet:
+        """Switch the versions of a set of tables as one."""
+        views = {table: self.view(table) for table in versions}
+        return tables.publish_set(self.spark, self.path(name), self.view(name), versions, views)
+
+    def pin(self, name: str) -> tables.TableSet:
+        """A published set as it is now, whatever is published later."""
+        quality.require_table(self.spark, self.view(name))
+        return tables.pinned_set(self.spark, self.view(name))
+
 
 def _tidy(job: Callable) -> Callable:
     @functools.wraps(job)
@@ -64,7 +78,7 @@ def bronze_job(
     spark = lake.spark
     tables.ensure_schema(spark, lake.schema)
     folder = fresh_path(spark, "unpacked")
-    files = stage(archives.unpack_archives(spark, sources, folder, members), "unpacked-files")
+    files = archives.unpack_archives(spark, sources, folder, members)
     accepted = ("ok", "skipped") if members == "first" else ("ok",)
     quality.enforce(quality.expect(files, {"unusable_archive": ~F.col("status").isin(*accepted)}))
 
@@ -72,8 +86,11 @@ def bronze_job(
     groups: dict[tuple, list[str]] = {}
     for path, header in archives.headers(files).collect():  # a row per file; the reader needs the paths by name anyway
         groups.setdefault(tuple(header), []).append(path)
-    read = [delimited.normalise_columns(delimited.read_raw_csv(spark, paths, multiline)) for _, paths in sorted(groups.items())]
-    read = [delimited.add_lineage(rows, ingestion_date) for rows in read]
+    read = []
+    for _, paths in sorted(groups.items()):
+        rows = delimited.read_raw_csv(spark, paths, multiline, split=True, file_column=_FILE)
+        rows = delimited.add_lineage(delimited.normalise_columns(rows, [_FILE]), ingestion_date, F.col(_FILE), F.lit(None).cast("string"))
+        read.append(rows.drop(_FILE))
     rows = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), read)
     origin = r"/([0-9a-f]+)/[^/]+$"
     archive_of = files.select(
@@ -106,7 +123,7 @@ def silver_job(lake: Lake) -> DataFrame:
 
 @_tidy
 def gold_job(lake: Lake) -> dict[str, DataFrame]:
-    """Dimensions and fact; all five tables are switched after the gate over all of them.
+    """Dimensions and fact; all five tables are switched as one after the gate over all of them.
 
     The fact is keyed from the written dimensions, so that both hold the same keys.
     """
@@ -117,16 +134,16 @@ def gold_job(lake: Lake) -> dict[str, DataFrame]:
     paths["fact"], fact = tables.write_version(
         build_fact(silver, dims), lake.path("fact"), lambda w: quality.gold_gate(w, silver, dims)
     )
-    for table, path in paths.items():
-        tables.show_version(lake.spark, lake.view(table), path)
+    lake.publish("star", paths)
     return {**{f"dim_{n}": d for n, d in dims.items()}, "fact": fact}
 
 
 @_tidy
 def features_job(lake: Lake) -> DataFrame:
-    """The labelled feature table."""
-    fact = lake.read("fact")
-    dims = {n: lake.read(f"dim_{n}") for n in ("date", "product", "company", "state")}
+    """The labelled feature table, of one published star from the first read to the gate."""
+    star = lake.pin("star")
+    fact = star.table("fact")
+    dims = {n: star.table(f"dim_{n}") for n in ("date", "product", "company", "state")}
     return tables.publish(
         feature_table(denormalise(fact, dims)),
         lake.path("features"),
@@ -147,8 +164,7 @@ def train_job(
         lake.path("test_predictions"),
         lambda w: quality.monitoring_gate(metrics, w, [m.name for m in trained.models]),
     )
-    tables.show_version(lake.spark, lake.view("model_metrics"), metrics_path)
-    tables.show_version(lake.spark, lake.view("test_predictions"), predictions_path)
+    lake.publish("reports", {"model_metrics": metrics_path, "test_predictions": predictions_path})
     return serving.promote_champion(
         lake.path("champion"),
         trained.models,

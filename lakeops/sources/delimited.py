@@ -8,6 +8,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lakeops.sources.records import read_records
 
 # How the delimited source is written.
 CSV_OPTIONS = {
@@ -21,18 +24,28 @@ CSV_OPTIONS = {
 
 
 def read_raw_csv(
-    spark: SparkSession, paths: str | Iterable[str], multiline: bool = True, schema: str | None = None
+    spark: SparkSession,
+    paths: str | Iterable[str],
+    multiline: bool = True,
+    schema: str | None = None,
+    split: bool = False,
+    file_column: str | None = None,
 ) -> DataFrame:
     """All-text rows of delimited files with a header.
 
-    A quoted field may hold line breaks, which makes a file one task: the parallelism comes from
-    the number of files. ``multiline=False`` reads splits of a file in parallel, for sources
-    without embedded line breaks. Giving the ``schema`` saves the pass that reads the header.
+    A quoted field may hold line breaks. Spark's own reader then gives a file to one task; ``split=True`` reads its byte ranges in
+    parallel (``records.py``), for the same rows, at the price of a second pass over the text. ``multiline=False`` reads splits in parallel in one pass, for
+    sources without embedded line breaks. Giving the ``schema`` saves the job that reads the header. ``file_column`` adds the path of a row's file.
     """
+    paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
     if schema:
         reader = reader.schema(schema)
-    return reader.csv(paths if isinstance(paths, str) else list(paths))
+    if split and multiline:
+        columns = T.StructType.fromDDL(schema).names if schema else reader.csv(paths).columns
+        return read_records(spark, paths, columns, CSV_OPTIONS, file_column)
+    rows = reader.csv(paths)
+    return rows.select("*", F.col("_metadata.file_path").alias(file_column)) if file_column else rows
 
 
 def normal_name(header: str) -> str:
@@ -40,9 +53,10 @@ def normal_name(header: str) -> str:
     return "_".join(re.findall(r"[a-z0-9]+", header.lower()))
 
 
-def normalise_columns(df: DataFrame) -> DataFrame:
-    """Give every column its normal name; two headers with the same one are an error."""
-    names = [normal_name(c) for c in df.columns]
+def normalise_columns(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
+    """Give every column, but for those to ``keep``, its normal name; two headers with the same one are an error."""
+    kept = set(keep)
+    names = [c if c in kept else normal_name(c) for c in df.columns]
     clashes = sorted(n for n, k in Counter(names).items() if k > 1 or not n)
     if clashes:
         raise ValueError(f"headers without a name of their own: {clashes}")
