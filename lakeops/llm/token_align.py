@@ -12,8 +12,11 @@
 
 Edge cases: a null or empty text, and one whose joined token bytes of A or B differ from a space and the text (such as a text with U+2581), has no
 tokens: zeros and no groups; every row counts as a document of its own, also if it repeats another or has no id; very long texts are
-tokenized in parts that end between two ASCII letters or digits with one space between them, where neither tokenizer can join; other columns are
-ignored; an empty table gives no rows.
+read whole; other columns are ignored; an empty table gives no rows.
+
+Texts are tokenized by words that are parted by one space between visible characters, and words seen before are remembered. That gives the ids of the
+whole text for byte-level BPE whose split never joins a letter and a later space, and for sentence pieces of which none has its space mark
+behind another character; the mark is put before each text, and no other white space is changed. ``Pair`` refuses files for which this doesn't hold.
 """
 
 from __future__ import annotations
@@ -29,18 +32,24 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from lakeops.llm.common import id_and_text
 from lakeops.sources.staging import stage
 
-#: Ends that one piece merges, pieces merged at once, characters tokenized at once, and links expanded at once.
-WORK, SLAB, CHARS, LINKS = 1024, 512, 1 << 18, 1 << 21
+#: Ends that one piece merges, pieces merged at once, characters aligned at once, and links expanded at once.
+WORK, SLAB, CHARS, LINKS = 1024, 512, 1 << 20, 1 << 21
 #: Pairs whose count goes to all tasks: 24 bytes each, 6 MB.
 HOT_PAIRS = 1 << 18
+#: Parts of texts whose ids a worker remembers, twice.
+REMEMBERED = 150_000
+#: Stands for the ids of a part whose bytes they don't lead back to.
+UNLIKE = (b"", b"")
 #: Bits of an id; both vocabularies are smaller.
 ID_BITS = 20
 _LOW = (1 << ID_BITS) - 1
-_SAFE_BREAK = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
+#: A single space between characters that are no white space to either tokenizer.
+_SAFE_BREAK = re.compile("(?<=[!-~\u00a1-\u167f]) (?=[!-~\u00a1-\u167f])")
 
 
 # --- the two tokenizers ---
@@ -60,6 +69,9 @@ class Pair:
         self.a = Tokenizer.from_file(a_file)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_file)
+        marks = [i for i in range(self.b.get_piece_size()) if re.search("[^▁]▁", self.b.id_to_piece(i))]
+        if marks or self.a.normalizer is not None or not isinstance(self.a.pre_tokenizer, ByteLevel):
+            raise ValueError("words of these tokenizers can't be taken apart at single spaces")
         alphabet = byte_alphabet()
         self.a_bytes = [self._entry(self.a.id_to_token(i) or "", alphabet) for i in range(self.a.get_vocab_size())]
         self.b_bytes = [
@@ -68,38 +80,70 @@ class Pair:
         ]
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         ids = [[str(i) for i in range(len(t))] for t in (self.a_bytes, self.b_bytes)]
+        self.recent: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
         self.written = [sign + i for sign, names in ((",", ids[0]), (";", ids[0]), (",", ids[1]), ("|", ids[1])) for i in names]
 
     @staticmethod
     def _entry(entry: str, alphabet: dict[str, int]) -> bytes:
         return bytes(alphabet[c] for c in entry) if all(c in alphabet for c in entry) else entry.encode()
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both for every text; of none if the bytes don't lead back to the text."""
-        parts, owner = [], []
-        for k, text in enumerate(texts):
-            for part in safe_parts(text):
-                parts.append(part)
-                owner.append(k)
-        a, b = [[] for _ in texts], [[] for _ in texts]
-        coded = self.a.encode_batch([" " + p for p in parts], add_special_tokens=False) if parts else []
-        for k, x, y in zip(owner, coded, self.b.encode(parts, num_threads=1) if parts else []):
-            a[k] += x.ids
-            b[k] += y
-        for k, text in enumerate(texts):
-            data = (" " + text).encode()
-            if b"".join(map(self.a_bytes.__getitem__, a[k])) != data or b"".join(map(self.b_bytes.__getitem__, b[k])) != data:
-                a[k], b[k] = [], []
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Ids of both for every text as integers of four bytes; of none if the bytes of any part don't lead back to the text."""
+        a, b = [], []
+        for text in texts:
+            parts = parts_of(text) if text else []
+            ids = list(map(self.recent.get, parts))
+            if None in ids:
+                self.learn({p for p, known in zip(parts, ids) if known is None})
+                ids = list(map(self.recent.__getitem__, parts))
+            whole = UNLIKE not in ids
+            a.append(b"".join([x for x, _ in ids]) if whole else b"")
+            b.append(b"".join([y for _, y in ids]) if whole else b"")
+            if len(self.recent) > REMEMBERED:
+                # two halves, so that words of every day stay when rare ones fill the memory
+                self.recent, self.older = {}, {p: found for p, found in self.recent.items() if len(p) <= 32}
         return a, b
 
-
-def safe_parts(text: str, chars: int = CHARS) -> list[str]:
-    """The text without the spaces it is cut at; none for an empty one. Each tokenizer puts the space back before a part."""
-    found, at = [], 0
-    while len(text) - at > chars and (cut := _SAFE_BREAK.search(text, at + chars)):
-        found.append(text[at : cut.start()])
-        at = cut.end()
-    return [*found, text[at:]] if text else []
+    def learn(self, parts: set[str]) -> None:
+        """Remember the ids of parts, which both tokenizers take to begin with a space; UNLIKE where their bytes are others."""
+        new = []
+        for part in parts:
+            known = self.older.get(part)
+            if known is None:
+                new.append(part)
+            else:
+                self.recent[part] = known
+        together = " ".join(new)
+        if new and not (parts_of(together) == new and self.learn_joined(new, together)):
+            for part in new:
+                if not self.learn_joined([part], part):
+                    self.recent[part] = UNLIKE
+
+    def learn_joined(self, parts: list[str], text: str) -> bool:
+        """Remember the ids of parts from those of the text they make together; whether its bytes lead back to it."""
+        data = (" " + text).encode()
+        ends = np.cumsum([len(p.encode()) + 1 for p in parts])
+        found = []
+        for ids, names, sizes in (
+            (self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.a_bytes, self.a_size),
+            (self.b.encode(text, num_threads=1), self.b_bytes, self.b_size),
+        ):
+            if b"".join(map(names.__getitem__, ids)) != data:
+                return False
+            token = np.array(ids, np.uint32)
+            behind = np.cumsum(sizes[token])
+            at = np.searchsorted(behind, ends)
+            assert (behind[at] == ends).all(), "a token reaches over a space between visible characters"
+            cuts, held = [0, *(4 * (at + 1)).tolist()], token.tobytes()
+            found.append([held[s:e] for s, e in zip(cuts, cuts[1:])])
+        self.recent.update(zip(parts, zip(*found)))
+        return True
+
+
+def parts_of(text: str) -> list[str]:
+    """The words of the text, as far as one space between two visible characters parts them: neither tokenizer joins anything across such a space."""
+    return _SAFE_BREAK.split(text)
 
 
 @functools.lru_cache(maxsize=1)
@@ -220,8 +264,8 @@ def lists(values: np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.Array:
 def aligned(pair: Pair, texts: list[str], with_groups: bool) -> list[pa.Array]:
     """The columns after doc_id for a few texts."""
     a, b = pair.encode(texts)
-    n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
-    a_ids, b_ids = (np.array([i for x in side for i in x], np.int64) for side in (a, b))
+    n_a, n_b = (np.array([len(x) // 4 for x in side], np.int64) for side in (a, b))
+    a_ids, b_ids = (np.frombuffer(b"".join(side), np.uint32).astype(np.int64) for side in (a, b))
     # the sizes of a text's tokens add up to the same on both sides, so ends count on from text to text
     of_a, of_b = groups_of(np.cumsum(pair.a_size[a_ids]), np.cumsum(pair.b_size[b_ids])) if len(a_ids) else (a_ids, b_ids)
     text_of = np.repeat(np.arange(len(texts)), n_a)

@@ -108,14 +108,17 @@ def test_empty_table(spark):
     assert found.columns == ["doc_id", *NAMES] and found.collect() == []
 
 
-def test_long_text_is_cut_where_nothing_joins():
+def test_parts_give_the_ids_of_the_whole_text():
+    """At single spaces between visible characters nothing is joined, whatever stands there."""
     pair = token_align.pair_of(A_FILE, B_FILE)
-    text = " ".join(f"w{i * i % 977} ,x{i}  y" for i in range(3000)) + " 日本語" * 100
-    parts = token_align.safe_parts(text, 1000)
-    assert len(parts) > 20 and " ".join(parts) == text
-    ids = [pair.a.encode(" " + p, add_special_tokens=False).ids for p in parts], [pair.b.encode(p) for p in parts]
-    assert sum(ids[0], []) == pair.a.encode(" " + text, add_special_tokens=False).ids
-    assert sum(ids[1], []) == pair.b.encode(text)
+    random = np.random.default_rng(8)
+    signs = ["a", "Ab", "it's", "'s", "12", "é", "\u0301", "Ж", "\u00ad", "\u00a0", " ", "  ", "\t", "\n", ".", "...", "_", "<s>", "日", "🙂", "\u2003", "\u1680", "\x1f", "\x85", "the", " the "]
+    for _ in range(2000):
+        text = " ".join("".join(random.choice(signs, random.integers(1, 4))) for _ in range(random.integers(1, 9)))
+        parts = token_align.parts_of(text)
+        assert " ".join(parts) == text
+        a, b = pair.a.encode(" " + text, add_special_tokens=False).ids, pair.b.encode(text)
+        assert (sum((pair.a.encode(" " + p, add_special_tokens=False).ids for p in parts), []), sum((pair.b.encode(p) for p in parts), [])) == (a, b), repr(text)
 
 
 @pytest.mark.parametrize("work", [1, 2, 3, 7, 64, 4096])
