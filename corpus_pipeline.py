@@ -25,17 +25,32 @@ def text_tag() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
+def packed(docs: DataFrame) -> Column:
+    """The whole row as one column, which names used inside can't clash with."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+
+
 def with_keys(docs: DataFrame) -> DataFrame:
-    """Documents with ``_key``: the id if no other text has it, else a hash of id and text beyond usual ids, so that those come first."""
-    keyed = docs.withColumn("_key", F.col("doc_id").cast("long")).withColumn("_tag", text_tag())
-    repeated = keyed.groupBy("_key").agg((F.min("_tag") < F.max("_tag")).alias("unlike")).where("unlike AND _key IS NOT NULL")
-    repeated = stage(repeated.select(F.col("_key").alias("_repeated")), "repeated-ids")
+    """``_key``, ``text``, ``_tag`` and ``_row`` of the documents, and ``_again``: other rows may have that key and text.
+
+    The key is the id if no other text has it, else a hash of id and text beyond usual ids, so that those come first.
+    """
+    keyed = docs.select(packed(docs), "text", F.col("doc_id").cast("long").alias("_key"), text_tag().alias("_tag"))
+    repeated = keyed.groupBy("_key").agg(F.count("*").alias("_n"), (F.min("_tag") < F.max("_tag")).alias("_unlike")).where("_n > 1 AND _key IS NOT NULL")
+    repeated = stage(repeated.select(F.col("_key").alias("_repeated"), "_unlike"), "repeated-ids")
     hashed = F.xxhash64("_key", "_tag").bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
-    if repeated.isEmpty():
-        return keyed.withColumn("_key", F.coalesce("_key", hashed)).drop("_tag")
+    alone = F.col("_key").isNotNull() & ~F.coalesce("_unlike", F.lit(False))
     joined = keyed.join(repeated, F.col("_key") == F.col("_repeated"), "left")
-    alone = F.when(F.col("_repeated").isNull(), F.col("_key"))
-    return joined.withColumn("_key", F.coalesce(alone, hashed)).drop("_tag", "_repeated")
+    return joined.select(
+        "_row", "text", "_tag", F.when(alone, F.col("_key")).otherwise(hashed).alias("_key"), (F.col("_key").isNull() | F.col("_repeated").isNotNull()).alias("_again")
+    )
+
+
+def one_of_each(keyed: DataFrame) -> DataFrame:
+    """The rows, of equal keys and texts one: the one whose columns have the smallest hash."""
+    least = F.min_by("_row", F.xxhash64("_row")).alias("_row")
+    again = keyed.where("_again").groupBy("_key", "_tag").agg(least)
+    return keyed.where("NOT _again").select("_row").unionByName(again.select("_row")).select("_row.*")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,25 +58,28 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     verdicts = quality.quality_rules(docs, table(spark, sf_dir, "labels")).where("NOT kept")
     gone = verdicts.select(F.col("doc_id").alias("_gone"), F.col("stratum").alias("_stratum"), F.col("text_tag").alias("_tag")).distinct()
     # equal texts can be judged unlike in two strata
-    same = (text_tag() == F.col("_tag")) & (F.coalesce(F.col("lang").cast("string"), F.lit("")) == F.col("_stratum"))
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")) & same, "left_anti")
+    rows = docs.select(packed(docs), F.col("doc_id").cast("long").alias("_id"), text_tag().alias("_hash"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("_lang"))
+    same = F.col("_id").eqNullSafe(F.col("_gone")) & (F.col("_hash") == F.col("_tag")) & (F.col("_lang") == F.col("_stratum"))
+    return rows.join(gone, same, "left_anti").select("_row.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity from 0.8."""
+    """One row of each group of near copies: five-word shingles, similarity from 0.8. Texts without words are no copies of one another, but for equal ones under one id or none."""
     keyed = with_keys(docs)
     verdicts = near_dup.near_duplicates(keyed, words=5, percent=80, id_col="_key").where("NOT kept")
-    return keyed.join(verdicts.select(F.col("doc_id").alias("_key")).distinct(), "_key", "left_anti").select(*docs.columns)
+    kept = keyed.join(verdicts.select(F.col("doc_id").alias("_gone")).distinct(), F.col("_key") == F.col("_gone"), "left_anti")
+    # copies under one id, or without one, are one document to near_duplicates: without this, all of them would lose their text as repeats
+    return one_of_each(kept)
 
 
 def with_texts(docs: DataFrame, cut: DataFrame) -> DataFrame:
     """The documents with the texts that the removal of repeats left."""
     left = cut.where("n_removed > 0").dropDuplicates(["doc_id", "text_tag"])
     changed = left.select(F.col("doc_id").alias("_id"), "text_tag", "kept_text")
-    tagged = docs.withColumn("_tag", text_tag())
-    joined = tagged.join(changed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("text_tag")), "left")
-    text = F.coalesce("kept_text", "text")
-    return joined.withColumns({"text": text, "n_chars": F.when(F.col("_id").isNull() & F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.char_length(text).cast("long"))}).select(*docs.columns)
+    rows = docs.select(packed(docs), F.col("doc_id").cast("long").alias("_doc"), text_tag().alias("_tag"))
+    joined = rows.join(changed, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("text_tag")), "left")
+    cut_row = F.col("_row").withField("text", F.col("kept_text")).withField("n_chars", F.char_length("kept_text").cast("long"))
+    return joined.select(F.when(F.col("kept_text").isNotNull(), cut_row).otherwise(F.col("_row")).alias("_row")).select("_row.*")
 
 
 def repeated_words_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

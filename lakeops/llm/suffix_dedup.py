@@ -13,6 +13,8 @@ the input. Comparing whole corpora in one suffix array can't be spread; so the s
 4. An anchor with very many distinct contexts is split: narrower ranges of windows have a core of bytes in common, and its hash deals them
    out anew, down to single windows. So no task gets a group that grows with the corpus, and nothing is left out.
 
+Rows that repeat an id and its text count once in all of these steps, however many they are: such a text repeats from its first to its last byte, which needs no comparison.
+
 Edge cases: a null or empty text has no bytes and loses none; texts shorter than ``length`` lose nothing, equal or not; copies of a document lose all
 their bytes if they are long enough; rows that repeat id and text are copies too; a null id is kept as such; other columns are
 ignored; an empty table gives no rows. Texts of any length are read whole, in overlapping chunks.
@@ -202,9 +204,10 @@ def solve(contexts: DataFrame, length: int, widths: tuple[int, ...] = WIDTHS, gr
             yield pd.DataFrame(rows, columns=["pkey", "pctx", "start", "key", "ctx", "off", "data"])
 
     found = "key long, ctx long, first int, last int"
-    sizes = contexts.groupBy("key").agg(F.count("*").alias("n"))
+    # written, so that a hot key's rows are split by the join and not tied to the grouping
+    sizes = stage(contexts.groupBy("key").agg(F.count("*").alias("n")), "group-sizes")
     if not widths:
-        sizes = sizes.withColumn("n", F.lit(0))
+        sizes = sizes.withColumn("n", F.lit(0).cast("long"))
     sized = contexts.join(sizes, "key")
     small = sized.where(f"n <= {group}").select("key", "ctx", "data").repartition("key").sortWithinPartitions("key")
     all_of = contexts.where("copies > 1").selectExpr("key", "ctx", "0 AS first", f"octet_length(data) - {length} AS last")
@@ -223,15 +226,28 @@ def solve(contexts: DataFrame, length: int, widths: tuple[int, ...] = WIDTHS, gr
 def divide(rows: DataFrame, *carried: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows of keys with unlike contexts, rows of keys whose contexts are all equal, and the distinct contexts of the former; keys found once go."""
     keys = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("ctx").alias("lo"), F.max("ctx").alias("hi")).where("n > 1")
-    kept = stage(rows.join(keys.selectExpr("key", "lo < hi AS mixed"), "key"), "shared")
+    # written, so that a hot key's rows are split by the join and not tied to the grouping
+    keys = stage(keys.selectExpr("key", "lo < hi AS mixed"), "shared-keys")
+    kept = stage(rows.join(keys, "key"), "shared")
     mixed = kept.where("mixed").drop("mixed")
     first = F.first if carried == ("data",) else F.min
     distinct = mixed.groupBy("key", "ctx").agg(F.count("*").alias("copies"), F.min("off").alias("off"), *(first(c).alias(c) for c in carried))
     return mixed, kept.where("NOT mixed").drop("mixed"), stage(distinct, "contexts")
 
 
+def collapsed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One row per did and tag, and the dids and tags of several rows."""
+    repeated = docs.groupBy("did", "tag").agg(F.count("*").alias("n")).where("n > 1")
+    repeated = stage(repeated.select(F.col("did").alias("_did"), F.col("tag").alias("_tag")), "repeated-rows")
+    if repeated.isEmpty():
+        return docs, repeated
+    marked = docs.join(repeated, (F.col("did") == F.col("_did")) & (F.col("tag") == F.col("_tag")), "left")
+    once = marked.where("_did IS NOT NULL").groupBy("did", "tag").agg(F.min("text").alias("text"))
+    return marked.where("_did IS NULL").select("did", "tag", "text").unionByName(once.select("did", "tag", "text")), repeated
+
+
 def repeated_spans(docs: DataFrame, length: int, coded: bool = False) -> DataFrame:
-    """(did, tag, spans): first and last of runs of windows that repeat, of the bytes or the coded words; docs has did, tag and text."""
+    """(did, tag, spans): first and last of runs of windows that repeat, of the bytes or the coded words; docs has did, tag and text, once each."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
@@ -273,8 +289,9 @@ def repeated_spans(docs: DataFrame, length: int, coded: bool = False) -> DataFra
         texts.join(asked, ["did", "tag"]).select("text", "spans").mapInPandas(fetch, "key long, ctx long, copies long, off int, data binary"),
         "context-bytes",
     )
+    # what a suffix problem and the copies of a context say may be the same
     marks = mixed.join(solve(contexts, length), ["key", "ctx"]).selectExpr("did", "tag", "s + first AS first", "s + last AS last")
-    marks = marks.union(same.select("did", "tag", "s", "e"))
+    marks = marks.distinct().union(same.select("did", "tag", "s", "e"))
     return marks.groupBy("did", "tag").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
 
 
@@ -307,9 +324,13 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for doc, tag, text, spans in zip(b["doc_id"], b["tag"], b["text"], b["spans"]):
+            for doc, tag, text, spans, again in zip(b["doc_id"], b["tag"], b["text"], b["spans"], b["again"]):
                 data, kept = text.encode(), []
-                merged = united([(x["first"], x["last"] + length) for x in spans] if spans is not None else [])
+                if again:  # all its windows
+                    size = len(data) if words is None else CODE * len(data.split())
+                    merged = [(0, size)] if size >= length else []
+                else:
+                    merged = united([(x["first"], x["last"] + length) for x in spans] if spans is not None else [])
                 if words is not None:
                     merged = bytes_of_words(data, merged)
                 at = 0
@@ -322,5 +343,10 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
             yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string, text_tag long" if with_text else "")
-    spans = repeated_spans(docs, length, words is not None)
-    return docs.join(spans, ["did", "tag"], "left").select("doc_id", "tag", "text", "spans").mapInPandas(finish, schema)
+    once, repeated = collapsed(docs.select("did", "tag", "text"))
+    spans = repeated_spans(once, length, words is not None)
+    # a row per did and tag: the list of a repeated text, which all its rows would get, is left out
+    spans = spans.join(repeated, (F.col("did") == F.col("_did")) & (F.col("tag") == F.col("_tag")), "left_anti").withColumn("again", F.lit(False))
+    whole = repeated.select(F.col("_did").alias("did"), F.col("_tag").alias("tag"), F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"), F.lit(True).alias("again"))
+    found = docs.join(spans.unionByName(whole), ["did", "tag"], "left")
+    return found.select("doc_id", "tag", "text", "spans", F.coalesce("again", F.lit(False)).alias("again")).mapInPandas(finish, schema)
