@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeops.constants import ID, LABEL, MISSING_LABEL, NO, SAMPLE_CAP, SEED, SPLIT, TRAIN, YES
 from lakeops.functions.hashing import hash_bucket, hash_split, md5_text
 from lakeops.functions.text import fill, prefix
-from lakeops.operators.scan import prefix_scan
+from lakeops.operators.scan import ordered_rank
 
 _FILLED_TEXT = (
     "product",
@@ -86,18 +86,12 @@ def stratified_halves(
     """Add ``half`` 1 or 2, balanced within every label.
 
     The default is a hash bit of the id: no shuffle and about even halves. ``exact=True`` ranks the rows of a
-    label by their hash and halves the ranking, so sizes differ by at most one; the ranking is a
-    prefix scan, because a label may hold nearly all rows.
+    label by their hash and halves the ranking, so sizes differ by at most one; the ranking goes over range
+    partitions, because a label may hold nearly all rows.
     """
     if not exact:
         return df.withColumn("half", (hash_bucket(F.col(id_column), 2, "half:", method) + 1).cast("int"))
     hashed = df.withColumn("_hash", md5_text(F.col(id_column), "half:"))
-    ranked = prefix_scan(
-        hashed,
-        [F.col("_hash").asc(), F.col(id_column).asc()],
-        {"_rank": F.lit(1)},
-        groups=[label],
-        totals={"_size": "_rank"},
-    )
+    ranked = ordered_rank(hashed, [F.col("_hash").asc(), F.col(id_column).asc()], "_rank", [label], size="_size")
     first = F.col("_rank") <= F.ceil(F.col("_size") / 2)
     return ranked.select(*df.columns, F.when(first, 1).otherwise(2).alias("half"))

@@ -87,8 +87,9 @@ def assemble(df: DataFrame, columns: Iterable[str] = MODEL_INPUTS) -> DataFrame:
     return assembler(columns).transform(df)
 
 
-#: Partitions of the training rows; part of what a fitted forest depends on, as seeds are.
-FIT_PARTITIONS = 16
+#: Least number of partitions of the training rows, and rows of a partition beyond it. What a fitted forest depends on, as seeds are,
+#: is the number that follows from the rows alone.
+FIT_PARTITIONS, FIT_ROWS = 16, 100_000
 ID = "complaint_id"
 
 
@@ -101,16 +102,23 @@ def importance_table(spark: SparkSession, columns: Iterable[str], importances: I
     )
 
 
-def fixed_layout(train: DataFrame, columns: Iterable[str], partitions: int = FIT_PARTITIONS) -> DataFrame:
+def fit_partitions(rows: int) -> int:
+    """Partitions for so many training rows: they grow with the rows, and depend on nothing else."""
+    return max(FIT_PARTITIONS, -(-rows // FIT_ROWS))
+
+
+def fixed_layout(train: DataFrame, columns: Iterable[str], partitions: int | None = None, more: Iterable[str] = ()) -> DataFrame:
     """Training rows in a layout that depends on the rows alone.
 
-    Bagging draws per partition, so a fit depends on how rows are laid out. Hashing by id (by all columns where there is none) into
-    a given number of partitions and sorting there makes fits repeat on any machine and any input files. Give more ``partitions`` for more data.
+    The learners draw their bags per partition, and boosting draws anew in each round, so a fit depends on how rows are laid out. Hashing by id (by
+    all columns where there is none) into a number of partitions that follows from the number of rows, and sorting there, makes fits
+    repeat on any machine and any input files. Give ``partitions`` to fix the number instead.
     """
-    wanted = [*columns, LABEL, WEIGHT]
+    wanted = [*columns, LABEL, WEIGHT, *more]
     keys = [ID] if ID in train.columns else wanted
-    rows = train.select(*dict.fromkeys([*keys, *wanted])).repartition(partitions, *keys)
-    return rows.sortWithinPartitions(*dict.fromkeys([*keys, *wanted])).select(*wanted)
+    kept = list(dict.fromkeys([*keys, *wanted]))
+    rows = train.select(*kept).repartition(partitions or fit_partitions(train.count()), *keys)
+    return rows.sortWithinPartitions(*kept).select(*wanted)
 
 
 def select_features(train: DataFrame, columns: Iterable[str] = MODEL_INPUTS) -> DataFrame:
@@ -213,9 +221,23 @@ class AveragePrecision(Evaluator):
         return True
 
 
+FOLD = "tuning_fold"
+
+
+def with_folds(train: DataFrame, columns: Iterable[str], folds: int) -> DataFrame:
+    """What a search needs of the training rows, with the fold of each: whatever the partitions, a row's fold is the same."""
+    keys = [ID] if ID in train.columns else [*columns, LABEL, WEIGHT]
+    fold = F.pmod(F.xxhash64(F.lit("tuning"), *keys), F.lit(folds)).cast("int")
+    return train.select(*dict.fromkeys([*keys, *columns, LABEL, WEIGHT]), fold.alias(FOLD))
+
+
 def tune(estimator, grid: Mapping[str, list], train: DataFrame, columns: Iterable[str],
          folds: int = TUNING_FOLDS, parallelism: int = 4):
-    """Grid search by cross-validated average precision; ``(best model, results per grid point)``."""
+    """Grid search by cross-validated average precision; ``(best model, results per grid point)``.
+
+    A row's fold is a hash of its id (of all columns where there is none). Folds are dealt once and written, so that neither they nor the plan before them are computed again
+    for a fold or a point of the grid; a fold's rows are laid out once for all its fits.
+    """
     columns = list(columns)
     points = ParamGridBuilder()
     for name, values in grid.items():
@@ -226,11 +248,12 @@ def tune(estimator, grid: Mapping[str, list], train: DataFrame, columns: Iterabl
         estimatorParamMaps=points,
         evaluator=AveragePrecision(),
         numFolds=folds,
+        foldCol=FOLD,
         seed=SEED,
         parallelism=parallelism,
     )
-    rows = assemble(fixed_layout(train, columns), columns).select("features", LABEL, WEIGHT)
-    fitted = search.fit(rows)
+    dealt = stage(with_folds(train, columns, folds), "folds")
+    fitted = search.fit(assemble(fixed_layout(dealt, columns, more=[FOLD]), columns).select("features", LABEL, WEIGHT, FOLD))
     table = train.sparkSession.createDataFrame(
         [
             ({p.name: float(v) for p, v in point.items()}, float(score))

@@ -470,23 +470,23 @@ def group_counts(df: DataFrame, *groups: str) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Pearson matrix as rows, from one pass over the rows with a moment per pair of the upper triangle, mirrored.
+    """Pearson matrix as rows, from one pass: a row gives its pairs of the upper triangle, and one aggregate holds their co-moments.
 
+    The co-moments of a pair merge, so a task sends one row per pair whatever its rows; adding a column adds groups, not expressions.
     Rows missing one value of a pair don't count for that pair. A constant column has no correlation and gives null
     (``corr`` itself raises a division by zero for it in ANSI mode).
     """
     columns = list(columns)
-    indexed = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    value = [F.col(c).cast("double") for c in columns]
-
-    def r(i: int, j: int) -> Column:
-        x, y = F.when(value[j].isNotNull(), value[i]), F.when(value[i].isNotNull(), value[j])
-        return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
-
-    moments = df.agg(*[r(i, j).alias(f"_{i}_{j}") for i, j in indexed])  # one row
-    halves = moments.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"_{i}_{j}").alias("r")) for i, j in indexed])))
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(len(columns)) for j in range(i, len(columns))])
+    values = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("v"))
+    paired = values.select("v", F.inline(pairs)).select("i", "j", F.get("v", F.col("i")).alias("x"), F.get("v", F.col("j")).alias("y"))
+    spread = F.stddev_pop("x") * F.stddev_pop("y")
+    moments = paired.where("x IS NOT NULL AND y IS NOT NULL").groupBy("i", "j").agg((F.covar_pop("x", "y") / F.nullif(spread, F.lit(0.0))).alias("r"))
     mirrored = F.array(F.struct("i", "j", "r"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"), "r"))
-    cells = halves.select(F.inline(mirrored))
+    cells = moments.select(F.inline(mirrored))
+    # a pair without any common row has no moments, but its cell is there
+    every = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(None).cast("int").alias("j"), F.lit(None).cast("double").alias("r")) for i in range(len(columns))])
+    cells = cells.unionByName(df.sparkSession.range(1).select(F.inline(every)))
 
     def cell(j: int) -> Column:
         return F.max(F.when(F.col("j") == j, F.col("r"))).alias(columns[j])

@@ -66,7 +66,42 @@ def prefix_scan(
     )
 
 
+_PLACE_BITS = 33  # of monotonically_increasing_id: the partition above, the place in it below
+
+
+def ordered_parts(df: DataFrame, order: Iterable[Column]) -> DataFrame:
+    """Rows in global order with ``_part`` and their place in it, ``_place``: one exchange, no window."""
+    order = list(order)
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    return rows.withColumns({"_part": F.shiftright("_id", _PLACE_BITS), "_place": F.col("_id").bitwiseAND((1 << _PLACE_BITS) - 1)}).drop("_id")
+
+
+def ordered_rank(df: DataFrame, order: Iterable[Column], name: str, groups: Iterable[str] = (), size: str | None = None) -> DataFrame:
+    """Add the rank 1..N along a total order within ``groups``, and optionally the ``size`` of the group.
+
+    Unlike other sums, the running count needs no second exchange of the rows: a row's place in its range partition is known when it is
+    sorted there, and is written with it. What is added to it derives from the rows per partition and group.
+    """
+    groups = list(groups)
+    held = stage(ordered_parts(df, [*(F.col(g) for g in groups), *order]), "ordered")
+    counts = held.groupBy(*groups, "_part").agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
+    whole = Window.partitionBy(*groups)
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        *[F.col(g).alias(f"_g_{g}") for g in groups],
+        F.col("_part").alias("_p"),
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_offset"),
+        F.sum("_n").over(whole).alias("_size"),
+    )
+    offsets = stage(offsets, "ordered-offsets")
+    same = F.col("_part") == F.col("_p")
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    sized = [F.col("_size").alias(size)] if size else []
+    return held.join(offsets, same, "left").select(*df.columns, (F.col("_place") + F.col("_offset")).alias(name), *sized)
+
+
 def ordered_key(df: DataFrame, order: Iterable[Column], name: str) -> DataFrame:
     """Dense key 1..N along a total order of the rows."""
-    ranked = prefix_scan(df, order, {name: F.lit(1)})
+    ranked = ordered_rank(df, order, name)
     return ranked.withColumn(name, F.col(name).cast("int"))

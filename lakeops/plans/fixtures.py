@@ -75,6 +75,19 @@ SELECT l_orderkey * 10 + l_linenumber AS id,
 FROM {lineitem}
 """
 
+#: Scored rows of which no two have the same score: an odd factor permutes the numbers below 2^32.
+SCORED_FINE_SQL = """
+WITH numbered AS (
+  SELECT l_orderkey * 10 + l_linenumber AS id, l_linenumber AS ln, l_suppkey AS sk, l_partkey AS pk,
+    ((l_orderkey * 10 + l_linenumber) * 2654435761) % 4294967296 AS place FROM {lineitem})
+SELECT id,
+  CASE WHEN ln % 2 = 0 THEN 'm1' ELSE 'm2' END AS model_name,
+  CASE WHEN sk % 2 = 0 THEN 'VALIDATION' ELSE 'TEST' END AS dataset_split,
+  CAST(place AS DOUBLE) / 4294967296 AS probability,
+  CASE WHEN ((pk * 13 + id * 101) % 1000) * 14316557 < place THEN 1 ELSE 0 END AS label
+FROM numbered
+"""
+
 RAW_COLUMNS = (
     "complaint_id",
     "date_received",
@@ -115,6 +128,11 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(SCORED_SQL, **_given(spark, sf_dir, "lineitem"))
 
 
+def scored_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored rows with as many scores as rows."""
+    return spark.sql(SCORED_FINE_SQL, **_given(spark, sf_dir, "lineitem"))
+
+
 def duckdb_sql(template: str) -> str:
     """The DuckDB text of a view: table names in place of the placeholders."""
     return template.format(**{n: n for n in TABLES})

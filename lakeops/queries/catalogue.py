@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeops.queries import bronze, gold, learning, modelling, registry, silver, storage  # noqa: F401  (importing registers)
+from lakeops.queries import bronze, gold, learning, modelling, ranking, registry, silver, storage  # noqa: F401  (importing registers)
 
 
 def queries() -> dict[str, registry.Query]:

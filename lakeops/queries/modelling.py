@@ -72,9 +72,9 @@ add(
 
 
 def _sound(score: str, rows):
-    """Importances lie in [0, 1] and add up to 1, or to 0 where nothing is split."""
+    """Importances lie in [0, 1] and add up to 1: a model that splits nothing has none."""
     total = rows.agg(F.sum(score)).scalar()
-    return F.col(score).between(0.0, 1.0).alias("in_range"), ((F.abs(total - 1) < 1e-9) | (total == 0)).alias("total_valid")
+    return F.col(score).between(0.0, 1.0).alias("in_range"), (F.abs(total - 1) < 1e-9).alias("total_valid")
 
 
 def _selected(L):
@@ -221,6 +221,21 @@ add(
 )
 
 
+def _skill(L):
+    """Average precision on VALIDATION against the share of positives, which a model that knows nothing reaches."""
+    held = _trained(L).metrics.where(F.col("dataset_split") == K.VALIDATION)
+    return held.select("model_name", F.round("positive_label_rate", 9).alias("base_rate"), (F.col("auc_pr") > F.col("positive_label_rate")).alias("beats_base_rate"))
+
+
+add(
+    "model_skill",
+    _skill,
+    FEATURES
+    + " SELECT m AS model_name, round(avg(label_untimely_response), 9) AS base_rate, true AS beats_base_rate"
+    + f" FROM features, (VALUES {_NAMES}) v(m) WHERE dataset_split = 'VALIDATION' GROUP BY 1",
+)
+
+
 def _floor_met(L):
     """Recall at the chosen threshold, on the half of VALIDATION it was chosen on."""
     t = _trained(L)

@@ -212,3 +212,18 @@ def test_fits_do_not_depend_on_the_input_partitions(spark):
     rows = spark.createDataFrame(rows.collect(), rows.schema).withColumnsRenamed({"y": M.LABEL, "w": M.WEIGHT})
     tables = [[tuple(r) for r in M.select_features(rows.repartition(n), ["a", "b"]).collect()] for n in (1, 4, 50)]
     assert tables[0] == tables[1] == tables[2]
+
+
+def test_fit_partitions_follow_from_the_rows():
+    assert M.fit_partitions(0) == M.fit_partitions(10_000) == M.FIT_PARTITIONS
+    assert M.fit_partitions(10**9) == 10_000
+
+
+def test_folds_do_not_depend_on_partitions(spark):
+    rows = spark.createDataFrame(
+        [(i, i * 0.5, int(i % 5 == 0), 1.0) for i in range(3000)], f"complaint_id long, a double, {M.LABEL} int, {M.WEIGHT} double"
+    )
+    folds = [sorted(tuple(r) for r in M.with_folds(rows.repartition(n), ["a"], 3).select("complaint_id", M.FOLD).collect()) for n in (1, 4, 50)]
+    assert folds[0] == folds[1] == folds[2]
+    sizes = [sum(f == k for _, f in folds[0]) for k in range(3)]
+    assert min(sizes) > 900 and sum(sizes) == 3000
