@@ -3,7 +3,7 @@
 The table grain is (feature, category[, fold]); rows are only ever counted into it with partial
 aggregates, so a category with most of the rows costs no more than any other. Encoded values come
 back by left joins on the category, whose small side the optimizer broadcasts when its written
-size allows it.
+size allows it. Where it doesn't, rows of frequent categories are matched apart and spread over the shuffle (``rate_join``).
 """
 
 from __future__ import annotations
@@ -94,6 +94,50 @@ def target_encode_fit(
     return encoding_table(counts, target_rate(train, label).scalar(), smoothing)
 
 
+#: Rows of an encoding table that are matched without a shuffle where the whole table is too big for that.
+HOT_CATEGORIES = 4096
+#: Shares into which rows that the shuffled part of the table can't match are dealt.
+SALTS = 1 << 14
+
+
+def beyond_broadcast(table: DataFrame) -> bool:
+    """Whether the written size of a table is above the session's limit for broadcasts."""
+    limit = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > limit
+
+
+def rate_join(df: DataFrame, table: DataFrame, value: Column, name: str, fold: Column | None = None) -> DataFrame:
+    """Add ``name``, the rate of ``value`` in a table (category[, fold], n, rate), null where there is none.
+
+    A table above the broadcast limit is parted. Of its rows, those with at least one in ``HOT_CATEGORIES`` of all counts are no more than that many, so
+    they can always be broadcast. The others go through a shuffle, where no category they hold has many rows; the rows that were matched already, or have no
+    value, are dealt evenly over it by a salt that matches nothing, so that no task gets a frequent value.
+    """
+    on = ["category"] + (["fold"] if fold is not None else [])
+    sides = [value] + ([fold] if fold is not None else [])
+
+    # 0, but no literal: a comparison with a literal would be taken out of the join's key
+    unsalted = F.when(F.col("n") >= 0, 0).otherwise(-1)
+
+    def joined(rows: DataFrame, part: DataFrame, rate_name: str, more: Column | None = None) -> DataFrame:
+        part = part.select(*[F.col(c).alias(f"_of_{c}") for c in on], *([unsalted.alias("_of_salt")] if more is not None else []), F.col("rate").alias(rate_name))
+        condition = F.lit(True) if more is None else more == F.col("_of_salt")
+        for c, side in zip(on, sides):
+            condition = condition & (side == F.col(f"_of_{c}"))
+        return rows.join(part, condition, "left").drop(*[f"_of_{c}" for c in on], "_of_salt")
+
+    if not beyond_broadcast(table):
+        return joined(df, table, name)
+    total = table.agg(F.sum("n")).scalar()
+    hot = F.col("n") * HOT_CATEGORIES >= total
+    df = joined(df, F.broadcast(table.where(hot)), "_hot_rate")
+    apart = F.col("_hot_rate").isNotNull() | value.isNull()
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)) + 1
+    df = df.withColumn("_salt", F.when(apart, spread).otherwise(F.lit(0)).cast("int"))
+    df = joined(df, table.where(~hot), "_tail_rate", F.col("_salt"))
+    return df.withColumn(name, F.coalesce("_hot_rate", "_tail_rate")).drop("_hot_rate", "_tail_rate", "_salt")
+
+
 def target_encode_apply(
     df: DataFrame, encodings: DataFrame, rate: Column, columns: Iterable[str] = CATEGORICAL_COLUMNS
 ) -> DataFrame:
@@ -101,16 +145,13 @@ def target_encode_apply(
     kept = df.columns
     added = []
     for c in columns:
-        table = encodings.filter(F.col("feature") == c).select(
-            F.col("category").alias("_category"), F.col("rate").alias(f"_rate_{c}")
-        )
-        df = df.join(table, F.col(c) == F.col("_category"), "left").drop("_category")
+        df = rate_join(df, encodings.filter(F.col("feature") == c), F.col(c), f"_rate_{c}")
         added.append(F.coalesce(F.col(f"_rate_{c}"), rate).alias(encoded_name(c)))
     return df.select(*kept, *added)
 
 
 def out_of_fold_rates(counts: DataFrame, rate: Column, smoothing: float = SMOOTHING) -> DataFrame:
-    """``(feature, category, fold, rate)`` where a fold's rate uses only the other folds' rows.
+    """``(feature, category, fold, n, rate)`` with the rows of the category in all folds, where a fold's rate uses only the other folds' rows.
 
     The prior is the global rate of all training rows, not of the other folds. A category has one
     counted row per fold, so the window below never sees more than that.
@@ -119,7 +160,7 @@ def out_of_fold_rates(counts: DataFrame, rate: Column, smoothing: float = SMOOTH
     other_n = F.sum("n").over(same) - F.col("n")
     other_p = F.sum("positives").over(same) - F.col("positives")
     return counts.filter(F.col("category").isNotNull()).select(
-        "feature", "category", "fold", smoothed(other_p, other_n, rate, smoothing).alias("rate")
+        "feature", "category", "fold", F.sum("n").over(same).alias("n"), smoothed(other_p, other_n, rate, smoothing).alias("rate")
     )
 
 
@@ -134,11 +175,7 @@ def apply_by_fold(
     kept, added = df.columns, []
     df = df.withColumn("_fold", fold.cast("int"))
     for c in columns:
-        part = table.filter(F.col("feature") == c).select(
-            F.col("category").alias("_category"), F.col("fold").alias("_of"), F.col("rate").alias(f"_rate_{c}")
-        )
-        df = df.join(part, (F.col(c) == F.col("_category")) & (F.col("_fold") == F.col("_of")), "left")
-        df = df.drop("_category", "_of")
+        df = rate_join(df, table.filter(F.col("feature") == c), F.col(c), f"_rate_{c}", F.col("_fold"))
         added.append(F.coalesce(F.col(f"_rate_{c}"), rate).alias(encoded_name(c)))
     return df.select(*kept, *added)
 
@@ -183,7 +220,7 @@ def encode_splits(
     counts = stage(encoding_counts(features.filter(in_train), columns, LABEL, fold), "fold-counts")
     rate = stage(rate_of(counts), "target-rate")
     encodings = stage(encoding_table(counts, rate.scalar()), "encodings", "feature")
-    whole = encodings.select("feature", "category", F.lit(HELD_OUT_FOLD).alias("fold"), "rate")
+    whole = encodings.select("feature", "category", F.lit(HELD_OUT_FOLD).alias("fold"), "n", "rate")
     by_fold = stage(out_of_fold_rates(counts, rate.scalar()).unionByName(whole), "fold-rates", "feature")
     row_fold = F.when(in_train, fold).otherwise(F.lit(HELD_OUT_FOLD))
     return apply_by_fold(features, by_fold, rate.scalar(), row_fold, columns), encodings, rate
