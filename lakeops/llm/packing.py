@@ -7,8 +7,8 @@ corpus is:
 * A configuration is a multiset of lengths that fits a sequence. The linear program asks for the fewest configurations that cover the histogram.
 * Multiplicative weights solve it: every length has a weight that shrinks as it gets covered; a knapsack by dynamic programming prices
   configurations by weight per piece; the lengths with the largest weights each give the best configuration that contains them.
-* The fractional solution is rounded down so that no length is covered beyond its count. What is left is solved again, and the last rest is packed
-  best-fit decreasing, also on the histogram.
+* The fractional solution is rounded so that no length is covered beyond its count, and the rest is packed best-fit decreasing, also on the histogram. The prices also
+  bound from below how few sequences are possible.
 
 Pieces are then numbered per length (a count per task, made global by running sums over tasks), and the number says which copy of which
 configuration a piece fills. Every slot of a copy gets a piece, so offsets are gapless. No task sees more than its own pieces.
@@ -36,24 +36,56 @@ from lakeops.llm.common import id_and_text
 from lakeops.sources.staging import stage
 
 END_ID = 0
-#: Part of the fractional solution that is rounded; the rest keeps pieces of all lengths, which best-fit needs to fill its bins.
-SHARE = 0.8
+#: Lengths up to which a histogram counts as one of few; price within which pieces count as equally good; part of each length that the program may pack
+#: where there are many.
+FEW, NEAR, SHARE = 64, 0.0005, 0.85
 #: The tokenizer's own split into words for texts of SAFE characters, in the terms of the standard library.
 _SPLIT = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
 _UNSAFE = re.compile("[^\\t\\n\\r\\x20-\\x7e\\xa1-\\xa9\\xab-\\xb1\\xb4-\\xb8\\xbb\\xbf-\\u0237\\u2010-\\u2027\\u2030-\\u203a]|<\\|")
 
 
-class Words(dict):
-    """Ids of a word as little-endian bytes, remembered; emptied when it holds half a million."""
+#: Words that a worker remembers, twice.
+REMEMBERED = 250_000
+
+
+class Words:
+    """Ids of words as little-endian bytes, remembered; new ones of a text are learnt together."""
 
     def __init__(self, tokenizer: Tokenizer) -> None:
         self.tokenizer = tokenizer
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) > 500_000:
-            self.clear()
-        value = self[word] = whole(self.tokenizer, word)
-        return value
+        # a byte-level vocabulary writes each byte as one character
+        self.size = np.array([len(tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())], np.int64)
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        found = list(map(self.recent.get, words))
+        if None in found:
+            self.learn({w for w, known in zip(words, found) if known is None})
+            found = list(map(self.recent.__getitem__, words))
+        if len(self.recent) > REMEMBERED:  # two halves, so that words of every day stay
+            self.recent, self.older = {}, self.recent
+        return found
+
+    def learn(self, words: set[str]) -> None:
+        new = []
+        for w in words:
+            if (known := self.older.get(w)) is not None:
+                self.recent[w] = known
+            elif w.isspace():
+                self.recent[w] = whole(self.tokenizer, w)
+            else:
+                new.append(w)
+        if not new:
+            return
+        # a line break between words is a token of its own, so the words' ids are those between the breaks
+        ids = np.array(self.tokenizer.encode("\n".join(new), add_special_tokens=False).ids, "<u4")
+        behind = np.cumsum(self.size[ids])
+        ends = np.cumsum([len(w.encode()) + 1 for w in new]) - 1
+        last = np.searchsorted(behind, ends)
+        assert (behind[last] == ends).all(), "a token reaches over a line break"
+        held, first = ids.tobytes(), [0, *(4 * (last[:-1] + 2)).tolist()]
+        self.recent.update((w, held[s:e]) for w, s, e in zip(new, first, (4 * (last + 1)).tolist()))
 
 
 def whole(tokenizer: Tokenizer, text: str) -> bytes:
@@ -69,7 +101,7 @@ def encode(words: Words, text: str) -> bytes:
     """The library's ids as bytes. Merges never cross words, so texts whose split is known are joined from remembered words."""
     if _UNSAFE.search(text):
         return whole(words.tokenizer, text)
-    return b"".join([words[w] for w in _SPLIT.findall(text)])
+    return b"".join(words.ids(_SPLIT.findall(text)))
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -115,44 +147,66 @@ def knapsack(lengths: np.ndarray, values: np.ndarray, capacity: int) -> tuple[np
     return best, take
 
 
-def contents(room: int, lengths: np.ndarray, take: np.ndarray) -> Counter:
-    found: Counter = Counter()
-    while room > 0:
-        if take[room] < 0:
-            room -= 1
-        else:
-            found[int(lengths[take[room]])] += 1
-            room -= int(lengths[take[room]])
-    return found
-
+def solve(counts: dict[int, int], capacity: int) -> tuple[dict[tuple, float], float]:
+    """Multiplicative-weights solution of the program: configuration (sorted (length, copies) pairs) -> how often; and a lower bound of its value.
 
-def solve(counts: dict[int, int], capacity: int, rounds: int = 24, columns: int = 48, rate: float = 4.0) -> dict[tuple, int]:
-    """Rounded multiplicative-weights solution: configuration (sorted (length, copies) pairs) -> how often, within the counts."""
+    In each round all lengths should get covered by an equal further part. A length's price is its size, times a weight that falls exponentially in how
+    far it is ahead of that. The knapsack prices configurations. Each length that is behind gets a configuration that contains it, of the best price but for ``NEAR``;
+    among equally good pieces it takes those that are needed most, so that configurations differ. It is used as often as the length needs it and as no other length
+    runs far ahead. Any prices bound the value from below, by all pieces' price over that of the dearest configuration.
+    """
     lengths = np.array(sorted(counts))
     n = np.array([counts[int(v)] for v in lengths], float)
-    index = {int(v): i for i, v in enumerate(lengths)}
-    covered, times = np.zeros(len(lengths)), defaultdict(float)
-    for _ in range(rounds):
-        weights = np.exp(-rate * covered)
-        best, take = knapsack(lengths, weights / n, capacity)
-        for i in np.argsort(-weights * lengths, kind="stable")[:columns]:
-            chosen = contents(capacity - int(lengths[i]), lengths, take)
-            chosen[int(lengths[i])] += 1
-            step = min(n[index[v]] / c for v, c in chosen.items()) / 2
-            times[tuple(sorted(chosen.items()))] += step
-            for v, c in chosen.items():
-                covered[index[v]] += step * c / n[index[v]]
-    left, found = Counter(counts), {}
-    scale = 1 / max(1.0, float(np.average(covered, weights=n * lengths)))
-    # full ones only: the rest is solved again
+    few = len(lengths) <= FEW
+    # few lengths leave time for more rounds, and need weights that tell them apart
+    rounds, sharp, near = (60, 2.0, 0.0) if few else (8, 0.5, NEAR)
+    covered, times, bound = np.zeros(len(lengths)), defaultdict(float), 0.0
+    upto = np.searchsorted(lengths, np.arange(capacity + 1), "right")
+    for turn in range(1, rounds + 1):
+        target = turn / rounds
+        price = lengths / capacity * np.exp(sharp * np.clip(target - covered, -0.5, 0.5))
+        best, _ = knapsack(lengths, price, capacity)
+        bound = max(bound, float((price * n).sum() / best[capacity]))
+        for i in np.argsort(-(target - covered) * n * lengths if few else -lengths, kind="stable"):
+            behind = target - covered[i]
+            if behind <= 1e-9:
+                continue
+            chosen, room = Counter({int(i): 1}), capacity - int(lengths[i])
+            while room >= lengths[0]:
+                k = upto[room]
+                good = np.flatnonzero(best[room - lengths[:k]] + price[:k] >= best[room] - near)
+                if not len(good):
+                    room -= 1  # the best contents leave room
+                    continue
+                j = int(good[((target - covered[good]) * n[good]).argmax()])
+                chosen[j] += 1
+                room -= int(lengths[j])
+            at = np.array(sorted(chosen))
+            copies = np.array([chosen[int(j)] for j in at], float)
+            ahead = np.maximum(target + (2 if few else 1) / rounds - covered[at], 0.2 / rounds)
+            step = min(float((ahead * n[at] / copies).min()), behind * n[i] / chosen[int(i)])
+            times[tuple((int(lengths[j]), chosen[int(j)]) for j in at)] += step
+            covered[at] += step * copies / n[at]
+    return times, bound
+
+
+def rounded(times: dict[tuple, float], counts: Counter, up: bool) -> Counter:
+    """Whole copies of the configurations within the counts, which lose what they hold; fuller configurations first.
+
+    Rounded ``up``, configurations that fill a sequence may hold ``SHARE`` of each length's pieces: the rest keeps pieces of all lengths, which best-fit needs to fill its bins.
+    """
+    found: Counter = Counter()
+    may = Counter({v: c - round((1 - SHARE) * c) for v, c in counts.items()}) if up else Counter(counts)
+    fill = max((sum(v * k for v, k in c) for c in times), default=0)
     for config in sorted(times, key=lambda c: (-sum(v * k for v, k in c), -times[c], c)):
-        if sum(v * k for v, k in config) < capacity:
+        if up and sum(v * k for v, k in config) < fill:
             break
-        m = min(int(times[config] * scale * SHARE), *(left[v] // k for v, k in config))
-        if m > 0:
-            found[config] = m
+        copies = min(int(times[config] + (0.999 if up else 0)), *(may[v] // k for v, k in config))
+        if copies > 0:
+            found[config] = copies
             for v, k in config:
-                left[v] -= m * k
+                may[v] -= k * copies
+                counts[v] -= k * copies
     return found
 
 
@@ -189,23 +243,38 @@ def best_fit(counts: dict[int, int], capacity: int) -> dict[tuple, int]:
     return dict(found)
 
 
-def plan(counts: dict[int, int], capacity: int, turns: int = 1) -> list[tuple[tuple, int]]:
-    """Configurations with their number of copies that hold the histogram exactly."""
+def program(counts: dict[int, int], capacity: int, turns: int = 6) -> tuple[Counter, Counter, float]:
+    """Configurations from the program alone, the pieces it leaves, and the lower bound.
+
+    With few lengths, of many pieces each, the solution is rounded down, and what that leaves is solved again up to ``turns`` times. With many lengths most configurations
+    are used a few times, and are rounded up.
+    """
     found: Counter = Counter()
-    left = Counter({v: c for v, c in counts.items() if c})
-    for _ in range(turns):
-        if sum(left.values()) <= 4 * len(left):  # a rest of a few pieces of each length: nothing fractional to gain
+    left, bound = Counter({v: c for v, c in counts.items() if c}), 0.0
+    up = len(left) > FEW
+    for turn in range(1 if up else turns):
+        if not left:
             break
-        part = solve(dict(left), capacity)
+        times, lower = solve(dict(left), capacity)
+        bound = lower if turn == 0 else bound
+        part = rounded(times, left, up)
+        left = +left
+        found.update(part)
         if not part:
             break
-        found.update(part)
-        for config, m in part.items():
-            for v, k in config:
-                left[v] -= m * k
-        left = +left
+    return found, left, bound
+
+
+def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple, int]]:
+    """Configurations with their number of copies that hold the histogram exactly.
+
+    They come from the program; its last rest, a few pieces of each length, is packed best-fit. Where best-fit for all pieces would need fewer sequences,
+    which can happen by rounding, that is taken.
+    """
+    found, left, _ = program(counts, capacity)
     found.update(best_fit(dict(left), capacity))
-    return sorted(found.items())
+    alone = best_fit(counts, capacity)
+    return sorted((found if sum(found.values()) <= sum(alone.values()) else alone).items())
 
 
 def slots(packing: list[tuple[tuple, int]]) -> pd.DataFrame:
