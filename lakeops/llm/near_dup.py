@@ -3,11 +3,14 @@
 1. A document's set holds the hashes of its distinct word shingles. Each of 70 permutations gives the smallest and the largest hash of the set,
    140 unbiased signature values for 70 evaluations; consecutive minima, and consecutive maxima, form the bands.
 2. Documents with equal sets collapse into one class, so that thousands of copies cost one row afterwards.
-3. Classes that share a band meet in a bucket, cut into blocks. A block compares signatures and returns a forest of the plausible pairs (agreement no more than
+3. Classes that share a band meet in a bucket. Signatures are compared, for a forest of the plausible pairs (agreement no more than
    five standard deviations below the threshold), never the pairs. The forests' components are the clusters: every link lies within one.
-4. Full sets of a cluster meet in blocks. A block computes all intersections as a matrix product and returns a forest of the pairs with
+4. Full sets of a cluster meet in the same way. All intersections of a block are a matrix product, for a forest of the pairs with
    100 * intersection >= percent * union, in integers. The forests' components are the result.
 
+A bucket or cluster beyond a block first meets its representative, its smallest node. Members that are alike to it are in one component already, so only the
+others still have to meet all members, in blocks. Many copies with small edits thus cost a row each, not a row per pair of blocks.
+
 The number of rows per band is the largest that misses a pair exactly at the threshold with a chance below ``MISS``; for 85 percent that
 is 28 bands of 5, for 80 percent 35 bands of 4.
 
@@ -20,7 +23,7 @@ they are kept; ties go to the smallest id; other columns are ignored; an empty t
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -194,6 +197,46 @@ def blocked(rows: DataFrame, key: str, nodes: str, block: int) -> DataFrame:
     )
 
 
+def met(rows: DataFrame, key: str, payload: str, block: int, alike: Callable[[pd.DataFrame], np.ndarray]) -> tuple[DataFrame, DataFrame | None]:
+    """Rows (key, node, payload) dealt into groups (key, i, j), and edges to representatives, which together hold all links within a key.
+
+    ``alike`` tells for a frame with ``mine`` and ``other`` payloads which rows are linked.
+    """
+    sizes = rows.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"), F.min("node").alias("_rep")).where(F.col("_n") > block)
+    sizes = stage(sizes, "large-keys")
+    one = {"i": F.lit(0).cast("long"), "j": F.lit(0).cast("long")}
+    names = [key, "node", payload, "i", "j"]
+    small = rows.join(sizes, F.col(key) == F.col("_key"), "left_anti").withColumns(one).select(*names)
+    if sizes.isEmpty():
+        return small, None
+
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"_key": b["_key"], "node": b["node"], "_rep": b["_rep"], "near": alike(b) if len(b) else np.empty(0, bool)})
+
+    members = rows.join(sizes, F.col(key) == F.col("_key"))
+    first = members.where("node = _rep").groupBy(F.col("_key").alias("_of")).agg(F.min(payload).alias("other"))
+    both = members.join(stage(first, "representatives"), F.col("_key") == F.col("_of")).select("_key", "node", "_rep", F.col(payload).alias("mine"), "other")
+    judged = stage(both.mapInPandas(judge, "_key long, node long, _rep long, near boolean"), "near-representatives")
+    edges = judged.where("near AND node <> _rep").select(F.col("node").alias("a"), F.col("_rep").alias("b"))
+    others = judged.where("NOT near").select(F.col("_key").alias("_of"), F.col("node").alias("_other"))
+    left = others.groupBy("_of").agg(F.count("*").alias("_left")).join(sizes, F.col("_of") == F.col("_key"))
+    left = stage(left.select("_of", "_left", "_n"), "left-over")
+    if left.isEmpty():
+        return small, edges
+    # where most are left, all pairs of blocks are fewer rows than those of the left with all
+    most = blocked(rows.join(left.where("2 * _left > _n").select("_of"), F.col(key) == F.col("_of"), "left_semi"), key, "node", block)
+    few = left.where("2 * _left <= _n").select("_of", F.ceil(F.col("_left") / block).alias("_i"), F.ceil(F.col("_n") / block).alias("_j"))
+    spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    place = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    met_by = rows.join(few, F.col(key) == F.col("_of"))
+    asking = rows.join(others, (F.col(key) == F.col("_of")) & (F.col("node") == F.col("_other"))).select(*rows.columns).join(few, F.col(key) == F.col("_of"))
+    pairs = met_by.withColumn("i", spread("_i")).withColumn("j", place("_j")).select(*names).unionByName(
+        asking.withColumn("i", place("_i")).withColumn("j", spread("_j")).select(*names)
+    )
+    return small.unionByName(most.select(*names[:3], *(F.col(c).cast("long").alias(c) for c in "ij"))).unionByName(pairs), edges
+
+
 def grouped(batches: Iterator[pd.DataFrame], keys: list[str], at_least: int) -> Iterator[pd.DataFrame]:
     """Frames that hold whole groups of a sorted stream of frames, of about ``at_least`` rows."""
     held: list[pd.DataFrame] = []
@@ -222,11 +265,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     rows = keyed.select("node", F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("band")
     # signatures join only the rows whose band is shared, a small part of all
-    met = stage(rows.join(shared, "band", "left_semi"), "buckets")
-    buckets = blocked(met, "band", "node", SIGNATURE_BLOCK).join(keyed.select("node", "sig"), "node")
+    bucketed = stage(rows.join(shared, "band", "left_semi").join(keyed.select("node", "sig"), "node").select("band", "node", "sig"), "buckets")
     share = percent / 100
     agree = int(2 * PERMUTATIONS * share - 5.2 * (2 * PERMUTATIONS * share * (1 - share)) ** 0.5)
 
+    def same_signature(b: pd.DataFrame) -> np.ndarray:
+        mine, other = (np.frombuffer(b"".join(b[c]), np.uint8).reshape(len(b), -1) for c in ("mine", "other"))
+        return (mine == other).sum(1) >= agree
+
+    def same_set(b: pd.DataFrame) -> np.ndarray:
+        found = []
+        for x, y in zip(b["mine"], b["other"]):
+            x, y = np.frombuffer(x, _U), np.frombuffer(y, _U)
+            common = len(np.intersect1d(x, y, assume_unique=True))
+            found.append(100 * common >= percent * (len(x) + len(y) - common))
+        return np.array(found, bool)
+
+    def links(rows: DataFrame, key: str, payload: str, block: int, alike: Callable, compare: Callable) -> DataFrame:
+        groups, edges = met(rows, key, payload, block, alike)
+        found = groups.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j").mapInPandas(compare, "a long, b long")
+        return found if edges is None else found.unionByName(edges)
+
     def plausible(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in grouped(batches, ["band", "i", "j"], 20_000):
             yield plausible_edges(frame, agree)
@@ -234,6 +293,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in grouped(batches, ["cluster", "i", "j"], 500):
             for _, group in frame.groupby(["cluster", "i", "j"], sort=False):
+                group = group.drop_duplicates(["node", "members"])
                 sets = [np.frombuffer(t, _U) for t in group["members"]]
                 yield linked_edges(group["node"].to_numpy(np.int64), sets, percent)
 
@@ -243,14 +303,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
             sets = [shingle_set(t, words, hashes).tobytes() for t in b["text"]]
             yield pd.DataFrame({"node": b["node"], "cluster": b["cluster"], "members": sets})
 
-    by_band = buckets.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-    clusters = connected(by_band.mapInPandas(plausible, "a long, b long"))
+    clusters = connected(links(bucketed, "band", "sig", SIGNATURE_BLOCK, same_signature, plausible))
     clusters = clusters.union(clusters.select("root", "root").distinct()).toDF("node", "cluster")
     # the members grow with the documents, so they are merged and never broadcast, at any size
     texts = docs.join(clusters.hint("merge"), docs["doc_id"] == clusters["node"]).select("node", "cluster", "text")
-    members = stage(texts.mapInPandas(sets_of, "node long, cluster long, members binary"), "sets").dropDuplicates(["node", "members"])
-    blocks = blocked(members, "cluster", "node", SET_BLOCK).repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    roots = connected(blocks.mapInPandas(linked, "a long, b long"))
+    members = stage(texts.mapInPandas(sets_of, "node long, cluster long, members binary").dropDuplicates(["node", "members"]), "sets")
+    roots = connected(links(members, "cluster", "members", SET_BLOCK, same_set, linked))
     components = classes.join(roots, "node", "left").select("set_key", F.coalesce("root", "node").alias("root"))
     return signed.select("doc_id", "n_shingles", "set_key").join(components, "set_key", "left").select(
         "doc_id",

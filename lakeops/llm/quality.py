@@ -149,7 +149,8 @@ def certify(counts: DataFrame, labels: DataFrame, max_false: float = 0.02, delta
 def quality_rules(docs: DataFrame, labels: DataFrame, max_false: float = 0.02, delta: float = 0.05, **columns: str) -> DataFrame:
     """One row per document: the counts, base_failed, kept (neither rule set rejects it), and text_tag (xxhash64 of the text)."""
     counts = stage(features(docs, **columns), "quality")  # read for the labels and again for the verdicts
-    cutoffs = certify(counts, labels, max_false, delta)
+    # written, so that the join is chosen by the size of a few rows per stratum and not by an estimate that grows with the documents
+    cutoffs = stage(certify(counts, labels, max_false, delta), "cutoffs")
     judged = counts.join(cutoffs, "stratum", "left")
     above = " OR ".join(f"coalesce({share} > cutoffs['{rule}'], false)" for rule, (share, _) in RULES.items())
     return judged.selectExpr(
