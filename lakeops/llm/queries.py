@@ -97,9 +97,19 @@ def clusters_sql(k: int = 8, rounds: int = 10, dimension: int = 64, scale: int =
         FROM a{rounds} AS a JOIN c{rounds} AS c ON c.c = a.c"""
 
 
+def records_sql() -> str:
+    """The records of op8: of equal payloads the largest page is the response; the digest's letters are read off four groups of 40 bits."""
+    letters = " || ".join(
+        f"substr('{warc.BASE32}', (((('0x' || substr(h, {1 + 10 * g}, 10))::BIGINT >> {35 - 5 * i}) & 31) + 1)::INTEGER, 1)" for g in range(4) for i in range(8)
+    )
+    return f"""SELECT page_id, octet_length(encode(t)) AS payload_bytes, {letters} AS payload_digest,
+            CASE WHEN page_id = last_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last_id THEN last_id END AS refers_to
+        FROM (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last_id FROM pages)"""
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_near_dup, op2_suffix_dedup, op3_html_text, op4_nearest, op5_lm_score, op6_bpe, op7_license_scan, op8_warc, op9_packing, op10_quality_rules, op11_token_align, op12_va_clusters, op13_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op12_va_clusters": clusters_sql()}
+    return {"op8_warc": records_sql(), "op12_va_clusters": clusters_sql()}
