@@ -6,7 +6,9 @@ describes a model: importances of the input columns, two calibration coefficient
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -14,13 +16,14 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
     LogisticRegression,
+    RandomForestClassificationModel,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import VectorAssembler, VectorSlicer
+from pyspark.ml.feature import Bucketizer, SQLTransformer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.constants import (
@@ -47,6 +50,7 @@ from lakeops.constants import (
 )
 from lakeops.operators import curves
 from lakeops.operators.features import stratified_halves
+from lakeops.operators.scan import prefix_scan
 from lakeops.sources.staging import stage
 
 _OUTPUTS = {
@@ -87,9 +91,13 @@ def assemble(df: DataFrame, columns: Iterable[str] = MODEL_INPUTS) -> DataFrame:
     return assembler(columns).transform(df)
 
 
-#: Least number of partitions of the training rows, and rows of a partition beyond it. What a fitted forest depends on, as seeds are,
-#: is the number that follows from the rows alone.
+#: Least number of partitions of the training rows of a boosted learner, and rows of a partition beyond it.
 FIT_PARTITIONS, FIT_ROWS = 16, 100_000
+#: Bins of an input, draws of rows that the trees of a forest share out among them, and forests fitted at once.
+BINS, BAGS, AT_ONCE = 32, 8, 4
+#: Weights are multiples of one in so many, so that sums of them are exact whatever the order.
+WEIGHT_STEPS = 1 << 12
+BIN_SUFFIX = "_bin"
 ID = "complaint_id"
 
 
@@ -108,9 +116,9 @@ def fit_partitions(rows: int) -> int:
 
 
 def fixed_layout(train: DataFrame, columns: Iterable[str], partitions: int | None = None, more: Iterable[str] = ()) -> DataFrame:
-    """Training rows in a layout that depends on the rows alone.
+    """Training rows in a layout that depends on the rows alone, for the boosted learner.
 
-    The learners draw their bags per partition, and boosting draws anew in each round, so a fit depends on how rows are laid out. Hashing by id (by
+    Boosting draws rows anew in each round, per partition, so a fit depends on how rows are laid out. Hashing by id (by
     all columns where there is none) into a number of partitions that follows from the number of rows, and sorting there, makes fits
     repeat on any machine and any input files. Give ``partitions`` to fix the number instead.
     """
@@ -121,11 +129,98 @@ def fixed_layout(train: DataFrame, columns: Iterable[str], partitions: int | Non
     return rows.sortWithinPartitions(*kept).select(*wanted)
 
 
+def bin_edges(train: DataFrame, columns: Iterable[str], bins: int = BINS) -> list[list[float]]:
+    """Limits of the bins of each column: a bin per distinct value, or for more values bins of about equally many rows.
+
+    Exact, and so the same for any layout of the rows; taken from the distinct values in order, of which no task holds more than a partition. At most ``bins`` rows a column come back.
+    """
+    columns = list(columns)
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])
+    counts = train.select(F.inline(cells)).where("v IS NOT NULL").groupBy("c", "v").agg(F.count("*").alias("n"))
+    ranked = prefix_scan(counts, [F.col("v")], {"upto": "n", "rank": F.lit(1)}, ["c"], {"total": "upto", "values": "rank"})
+    place = F.when(F.col("values") <= bins, F.col("rank") - 1).otherwise(F.floor((F.col("upto") - F.col("n")) * bins / F.col("total")))
+    found = ranked.groupBy("c", place.cast("int").alias("bin")).agg(F.min("v").alias("low"), F.max("v").alias("high")).orderBy("c", "bin").collect()
+    edges = []
+    for i in range(len(columns)):
+        held = [r for r in found if r["c"] == i]
+        limits = [(a["high"] + b["low"]) / 2 for a, b in zip(held, held[1:])]
+        edges.append([-math.inf, *(sorted(set(limits)) or [0.0]), math.inf])
+    return edges
+
+
+def binned(train: DataFrame, columns: Iterable[str]) -> list:
+    """The stages that turn the columns into a vector of bin numbers, whose order counts: the sum drops the mark of a category."""
+    columns = list(columns)
+    names = [c + BIN_SUFFIX for c in columns]
+    cut = Bucketizer(splitsArray=bin_edges(train, columns), inputCols=columns, outputCols=names, handleInvalid="error")
+    places = ", ".join(f"`{n}` + 0.0D AS `{n}_place`" for n in names)
+    return [cut, SQLTransformer(statement=f"SELECT *, {places} FROM __THIS__"), assembler([f"{n}_place" for n in names])]
+
+
+def bag_count(bag: int, keys: Iterable[str]) -> Column:
+    """How often a bootstrap draw holds a row: a Poisson number of mean 1, from a hash of the draw and the row's keys."""
+    place = F.pmod(F.xxhash64(F.lit(SEED), F.lit(bag), *keys), F.lit(1 << 53)) / float(1 << 53)
+    below, total = math.exp(-1.0), math.exp(-1.0)
+    count = (place >= total).cast("int")
+    for k in range(1, 9):
+        below /= k
+        total += below
+        count = count + (place >= total).cast("int")
+    return count
+
+
+def learning_rows(train: DataFrame, columns: Iterable[str]) -> tuple[DataFrame, list[str]]:
+    """Columns, label, rounded weight and keys of the training rows, written once for all fits; and the keys: the id, or all columns where there is none."""
+    wanted = [*columns, LABEL, WEIGHT]
+    keys = [ID] if ID in train.columns else wanted
+    steps = F.round(F.col(WEIGHT) * WEIGHT_STEPS) / WEIGHT_STEPS
+    return stage(train.select(*dict.fromkeys([*keys, *wanted])).withColumn(WEIGHT, steps), "learning-rows"), keys
+
+
+def fit_forest(estimator: RandomForestClassifier, rows: DataFrame, keys: Iterable[str], bags: int = BAGS) -> RandomForestClassificationModel:
+    """A forest that doesn't depend on how rows are laid out; ``rows`` hold features, label, weight and keys.
+
+    The learner's own bootstrap draws per partition. Here a row's draw is a hash of its keys, given to the learner as a weight. Groups of trees share a draw and grow together in
+    one fit without a bootstrap, so there are as many fits as draws and not as trees; within a group, trees differ by the inputs that their nodes may split on.
+    """
+    trees = estimator.getNumTrees()
+    bags = min(bags, trees)
+    strategy = "sqrt" if estimator.getFeatureSubsetStrategy() == "auto" else estimator.getFeatureSubsetStrategy()
+
+    def grow(bag: int):
+        number = trees // bags + (bag < trees % bags)
+        drawn = rows.withColumn("_count", bag_count(bag, keys)).where("_count > 0").withColumn(WEIGHT, F.col(WEIGHT) * F.col("_count"))
+        given = {estimator.numTrees: number, estimator.bootstrap: False, estimator.subsamplingRate: 1.0, estimator.seed: SEED + bag, estimator.featureSubsetStrategy: strategy}
+        return estimator.fit(drawn.select("features", LABEL, WEIGHT), given)
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        parts = list(pool.map(grow, range(bags)))
+    return joined_forest(parts)
+
+
+def joined_forest(parts: list[RandomForestClassificationModel]) -> RandomForestClassificationModel:
+    """One model of the trees of several."""
+    if len(parts) == 1:
+        return parts[0]
+    gateway = SparkSession.getActiveSession().sparkContext._gateway
+    kinds = gateway.jvm.org.apache.spark.ml.classification
+    trees = [t for part in parts for t in part._java_obj.trees()]
+    held = gateway.new_array(kinds.DecisionTreeClassificationModel, len(trees))
+    for i, tree in enumerate(trees):
+        held[i] = tree
+    first = parts[0]
+    java = kinds.RandomForestClassificationModel(first.uid, held, first.numFeatures, first.numClasses)
+    java.set(java.getParam("numTrees"), len(trees))
+    model = RandomForestClassificationModel(java)
+    for name in ("featuresCol", "labelCol", "predictionCol", "probabilityCol", "rawPredictionCol"):
+        model._set(**{name: first.getOrDefault(name)})
+    return model
+
+
 def select_features(train: DataFrame, columns: Iterable[str] = MODEL_INPUTS) -> DataFrame:
     """Importance table of a selector forest over all candidate inputs."""
     columns = list(columns)
-    selector = RandomForestClassifier(**_OUTPUTS, **SELECTOR_PARAMS)
-    model = selector.fit(assemble(fixed_layout(train, columns), columns))
+    model = fit(RandomForestClassifier(**_OUTPUTS, **SELECTOR_PARAMS), train, columns).stages[-1]
     return importance_table(train.sparkSession, columns, model.featureImportances.toArray())
 
 
@@ -135,10 +230,20 @@ def top_features(importances: DataFrame, k: int = TOP_FEATURES) -> list[str]:
 
 
 def fit(estimator, train: DataFrame, columns: Iterable[str]) -> PipelineModel:
-    """Assemble and fit one learner on weighted training rows."""
+    """Assemble and fit one learner on weighted training rows.
+
+    Trees and forests get exact bins, weights whose sums are exact and hashed draws, so that equal rows give equal models in any number of partitions. The boosted learner
+    draws by itself, and gets its rows in a layout of their own.
+    """
     columns = list(columns)
-    rows = fixed_layout(train, columns)
-    return Pipeline(stages=[assembler(columns), estimator]).fit(rows)
+    if isinstance(estimator, GBTClassifier):
+        return Pipeline(stages=[assembler(columns), estimator]).fit(fixed_layout(train, columns))
+    rows, keys = learning_rows(train, columns)
+    stages = binned(rows, columns)
+    ready = PipelineModel(stages).transform(rows)
+    if isinstance(estimator, RandomForestClassifier):
+        return PipelineModel([*stages, fit_forest(estimator, ready, keys)])
+    return PipelineModel([*stages, estimator.fit(ready.select("features", LABEL, WEIGHT))])
 
 
 def score_column(probability: str = "tree_probability"):
@@ -261,7 +366,10 @@ def tune(estimator, grid: Mapping[str, list], train: DataFrame, columns: Iterabl
         ],
         "params map<string, double>, average_precision double",
     )
-    return PipelineModel(stages=[assembler(columns), fitted.bestModel]), table
+    if isinstance(estimator, GBTClassifier):
+        return PipelineModel(stages=[assembler(columns), fitted.bestModel]), table
+    best = max(range(len(points)), key=lambda i: fitted.avgMetrics[i])
+    return fit(estimator.copy(points[best]), train, columns), table
 
 
 # ---- evaluation ----------------------------------------------------------------------------------
