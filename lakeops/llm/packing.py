@@ -40,7 +40,7 @@ END_ID = 0
 #: where there are many.
 FEW, NEAR, SHARE = 64, 0.0005, 0.85
 #: The tokenizer's own split into words for texts of SAFE characters, in the terms of the standard library.
-_SPLIT = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
+_SPLIT = re.compile(r" ?[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
 _UNSAFE = re.compile("[^\\t\\n\\r\\x20-\\x7e\\xa1-\\xa9\\xab-\\xb1\\xb4-\\xb8\\xbb\\xbf-\\u0237\\u2010-\\u2027\\u2030-\\u203a]|<\\|")
 
 
@@ -59,13 +59,13 @@ class Words:
         self.older: dict[str, bytes] = {}
 
     def ids(self, words: list[str]) -> list[bytes]:
-        found = list(map(self.recent.get, words))
-        if None in found:
-            self.learn({w for w, known in zip(words, found) if known is None})
-            found = list(map(self.recent.__getitem__, words))
+        return list(map(self.recent.__getitem__, words))
+
+    def know(self, words: set[str]) -> None:
         if len(self.recent) > REMEMBERED:  # two halves, so that words of every day stay
             self.recent, self.older = {}, self.recent
-        return found
+        if new := words.difference(self.recent):
+            self.learn(new)
 
     def learn(self, words: set[str]) -> None:
         new = []
@@ -79,7 +79,7 @@ class Words:
         if not new:
             return
         # a line break between words is a token of its own, so the words' ids are those between the breaks
-        ids = np.array(self.tokenizer.encode("\n".join(new), add_special_tokens=False).ids, "<u4")
+        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(new)], add_special_tokens=False)[0].ids, "<u4")
         behind = np.cumsum(self.size[ids])
         ends = np.cumsum([len(w.encode()) + 1 for w in new]) - 1
         last = np.searchsorted(behind, ends)
@@ -98,10 +98,25 @@ def words_of(path: str) -> Words:
 
 
 def encode(words: Words, text: str) -> bytes:
-    """The library's ids as bytes. Merges never cross words, so texts whose split is known are joined from remembered words."""
-    if _UNSAFE.search(text):
-        return whole(words.tokenizer, text)
-    return b"".join(words.ids(_SPLIT.findall(text)))
+    """The library's ids as bytes."""
+    return encode_texts(words, [text])[0]
+
+
+def encode_texts(words: Words, texts: list[str]) -> list[bytes]:
+    """The library's ids of each text as bytes. Merges never cross words, so texts whose split is known are joined from remembered words."""
+    split = [None if _UNSAFE.search(text) else _SPLIT.findall(text) for text in texts]
+    words.know(set().union(*(found for found in split if found)))
+    return [whole(words.tokenizer, text) if found is None else b"".join(words.ids(found)) for text, found in zip(texts, split)]
+
+
+def together(texts: list[str], chars: int = 1 << 19) -> Iterator[slice]:
+    """Runs of texts of about so many characters, of one text at least."""
+    ends = np.cumsum([len(t) for t in texts])
+    at = 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + chars, "right")))
+        yield slice(at, end)
+        at = end
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -117,9 +132,10 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int) -> DataFrame:
         words, task, seen = words_of(tokenizer_file), TaskContext.get().partitionId(), Counter()
         end = np.array([END_ID], "<u4").tobytes()
         for b in batches:
-            rows = []
-            for doc, text in zip(b["doc_id"], b["text"]):
-                ids = encode(words, text) + end
+            rows, texts = [], b["text"].tolist()
+            coded = (ids for part in together(texts) for ids in encode_texts(words, texts[part]))
+            for doc, ids in zip(b["doc_id"], coded):
+                ids += end
                 for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     rows.append((doc, k, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), task, seen[length]))
                     seen[length] += 1

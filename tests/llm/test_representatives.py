@@ -103,6 +103,6 @@ def test_components_with_hubs(spark, monkeypatch):
 
 def test_hub_edges_are_not_shuffled_by_the_hub(spark):
     edges = spark.range(20_000).select((F.col("id") % 1 - 1).alias("a"), F.col("id").alias("b"))
-    joined = components.with_least(edges)
+    joined = components.with_least(edges, 4096)
     plan = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "BroadcastHashJoin" in plan and joined.where("m = 0").count() == 20_000
