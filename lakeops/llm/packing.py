@@ -45,7 +45,7 @@ _UNSAFE = re.compile("[^\\t\\n\\r\\x20-\\x7e\\xa1-\\xa9\\xab-\\xb1\\xb4-\\xb8\\x
 
 
 #: Words that a worker remembers, twice.
-REMEMBERED = 250_000
+REMEMBERED = 600_000
 
 
 class Words:
