@@ -109,7 +109,7 @@ def beyond_broadcast(table: DataFrame) -> bool:
 def rate_join(df: DataFrame, table: DataFrame, value: Column, name: str, fold: Column | None = None) -> DataFrame:
     """Add ``name``, the rate of ``value`` in a table (category[, fold], n, rate), null where there is none.
 
-    A table above the broadcast limit is parted. Of its rows, those with at least one in ``HOT_CATEGORIES`` of all counts are no more than that many, so
+    A table above the broadcast limit is parted, if it has the counts ``n``. Of its rows, those with at least one in ``HOT_CATEGORIES`` of all counts are no more than that many, so
     they can always be broadcast. The others go through a shuffle, where no category they hold has many rows; the rows that were matched already, or have no
     value, are dealt evenly over it by a salt that matches nothing, so that no task gets a frequent value.
     """
@@ -126,7 +126,7 @@ def rate_join(df: DataFrame, table: DataFrame, value: Column, name: str, fold: C
             condition = condition & (side == F.col(f"_of_{c}"))
         return rows.join(part, condition, "left").drop(*[f"_of_{c}" for c in on], "_of_salt")
 
-    if not beyond_broadcast(table):
+    if "n" not in table.columns or not beyond_broadcast(table):
         return joined(df, table, name)
     total = table.agg(F.sum("n")).scalar()
     hot = F.col("n") * HOT_CATEGORIES >= total
