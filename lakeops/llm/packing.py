@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import functools
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lakeops.llm.common import id_and_text
+from lakeops.llm.token_align import byte_alphabet
 from lakeops.sources.staging import stage
 
 END_ID = 0
@@ -46,46 +48,35 @@ _UNSAFE = re.compile("[^\\t\\n\\r\\x20-\\x7e\\xa1-\\xa9\\xab-\\xb1\\xb4-\\xb8\\x
 
 #: Words that a worker remembers, twice.
 REMEMBERED = 600_000
+#: The character that stands for each byte in a byte-level vocabulary.
+_LETTERS = {b: c for c, b in byte_alphabet().items()}
 
 
-class Words:
-    """Ids of words as little-endian bytes, remembered; new ones of a text are learnt together."""
+class UnsafeWord(ValueError):
+    """A word of which the split may be another one than the tokenizer's."""
+
+
+class Words(dict):
+    """Ids of words as little-endian bytes; a word is given to the tokenizer's merges when it is first asked for, and remembered."""
 
     def __init__(self, tokenizer: Tokenizer) -> None:
-        self.tokenizer = tokenizer
-        # a byte-level vocabulary writes each byte as one character
-        self.size = np.array([len(tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())], np.int64)
-        self.recent: dict[str, bytes] = {}
+        super().__init__()
+        self.tokenizer, self.merges = tokenizer, tokenizer.model
         self.older: dict[str, bytes] = {}
 
-    def ids(self, words: list[str]) -> list[bytes]:
-        return list(map(self.recent.__getitem__, words))
-
-    def know(self, words: set[str]) -> None:
-        if len(self.recent) > REMEMBERED:  # two halves, so that words of every day stay
-            self.recent, self.older = {}, self.recent
-        if new := words.difference(self.recent):
-            self.learn(new)
-
-    def learn(self, words: set[str]) -> None:
-        new = []
-        for w in words:
-            if (known := self.older.get(w)) is not None:
-                self.recent[w] = known
-            elif w.isspace():
-                self.recent[w] = whole(self.tokenizer, w)
-            else:
-                new.append(w)
-        if not new:
-            return
-        # a line break between words is a token of its own, so the words' ids are those between the breaks
-        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(new)], add_special_tokens=False)[0].ids, "<u4")
-        behind = np.cumsum(self.size[ids])
-        ends = np.cumsum([len(w.encode()) + 1 for w in new]) - 1
-        last = np.searchsorted(behind, ends)
-        assert (behind[last] == ends).all(), "a token reaches over a line break"
-        held, first = ids.tobytes(), [0, *(4 * (last[:-1] + 2)).tolist()]
-        self.recent.update((w, held[s:e]) for w, s, e in zip(new, first, (4 * (last + 1)).tolist()))
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            if _UNSAFE.search(word):
+                raise UnsafeWord(word)
+            # the tokenizer's merges without its split, which is known: most of its time goes into places in the text
+            found = self.merges.tokenize(word.encode().decode("latin-1").translate(_LETTERS))
+            ids = struct.pack(f"<{len(found)}I", *[t.id for t in found])
+        if len(self) >= REMEMBERED:  # two halves, so that words of every day stay
+            self.older = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
 
 
 def whole(tokenizer: Tokenizer, text: str) -> bytes:
@@ -98,25 +89,11 @@ def words_of(path: str) -> Words:
 
 
 def encode(words: Words, text: str) -> bytes:
-    """The library's ids as bytes."""
-    return encode_texts(words, [text])[0]
-
-
-def encode_texts(words: Words, texts: list[str]) -> list[bytes]:
-    """The library's ids of each text as bytes. Merges never cross words, so texts whose split is known are joined from remembered words."""
-    split = [None if _UNSAFE.search(text) else _SPLIT.findall(text) for text in texts]
-    words.know(set().union(*(found for found in split if found)))
-    return [whole(words.tokenizer, text) if found is None else b"".join(words.ids(found)) for text, found in zip(texts, split)]
-
-
-def together(texts: list[str], chars: int = 1 << 19) -> Iterator[slice]:
-    """Runs of texts of about so many characters, of one text at least."""
-    ends = np.cumsum([len(t) for t in texts])
-    at = 0
-    while at < len(texts):
-        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + chars, "right")))
-        yield slice(at, end)
-        at = end
+    """The library's ids as bytes. Merges never cross words, so a text whose split is known is joined from remembered words."""
+    try:
+        return b"".join(map(words.__getitem__, _SPLIT.findall(text)))
+    except UnsafeWord:
+        return whole(words.tokenizer, text)
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -132,10 +109,9 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int) -> DataFrame:
         words, task, seen = words_of(tokenizer_file), TaskContext.get().partitionId(), Counter()
         end = np.array([END_ID], "<u4").tobytes()
         for b in batches:
-            rows, texts = [], b["text"].tolist()
-            coded = (ids for part in together(texts) for ids in encode_texts(words, texts[part]))
-            for doc, ids in zip(b["doc_id"], coded):
-                ids += end
+            rows = []
+            for doc, text in zip(b["doc_id"], b["text"]):
+                ids = encode(words, text) + end
                 for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     rows.append((doc, k, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), task, seen[length]))
                     seen[length] += 1
@@ -182,7 +158,8 @@ def solve(counts: dict[int, int], capacity: int) -> tuple[dict[tuple, float], fl
         target = turn / rounds
         price = lengths / capacity * np.exp(sharp * np.clip(target - covered, -0.5, 0.5))
         best, _ = knapsack(lengths, price, capacity)
-        bound = max(bound, float((price * n).sum() / best[capacity]))
+        # less what rounding may add to the sums, so that it stays a bound
+        bound = max(bound, float((price * n).sum() / best[capacity]) * (1 - 1e-12))
         for i in np.argsort(-(target - covered) * n * lengths if few else -lengths, kind="stable"):
             behind = target - covered[i]
             if behind <= 1e-9:

@@ -74,3 +74,28 @@ def test_words_learnt_together_have_the_ids_of_the_whole_text():
         text = "".join(random.choice(signs, random.integers(1, 14)))
         ids = np.frombuffer(packing.encode(words, text), "<u4").tolist()
         assert ids == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_new_words_go_to_the_merges_alone():
+    """They were written into a text, which the tokenizer split again, at twice the time."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+
+    class Merges:
+        model = tokenizer.model
+
+    words = packing.Words(Merges())
+    signs = [chr(c) for c in range(0x250) if not packing._UNSAFE.search(chr(c))]
+    texts = ["", "A few words, and 12 more.\n\n  It's  all\r\n", *(f"a{c} {c}b  {c}{c}" for c in signs)]
+    for text in texts:
+        assert np.frombuffer(packing.encode(words, text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    assert len(words) > len(signs)
+
+
+def test_forgotten_words_and_unsafe_texts(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 3)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    words = packing.Words(tokenizer)
+    for text in ["one two three four five one two", "one <|endoftext|> two", "\u0416 \u0661 x", "two one", "\x1c\xa0a", "five  four"]:
+        assert np.frombuffer(packing.encode(words, text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+        assert len(words) <= 3 and len(words.older) <= 3
